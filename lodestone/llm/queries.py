@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid
+from . import bpe, decontam, langid, quality
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -32,6 +38,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_language_id": op10_language_id,
