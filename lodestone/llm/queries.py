@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fingerprint, langid, quality
+from . import bpe, decontam, fingerprint, langid, pii, quality
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.learn(langid.training_rows(docs)))
@@ -46,6 +50,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_pii": op8_pii,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {}
