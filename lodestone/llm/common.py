@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -116,3 +116,9 @@ def spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(edge)
     keep = is_word[at[:-1]]
     return at[:-1][keep], at[1:][keep]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fingerprint, langid, ngram_join, pii, quality
+from . import bpe, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
