@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality
+from . import bpe, chat, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.learn(langid.training_rows(docs)))
@@ -61,6 +65,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_pii": op8_pii,
+    "op9_quotation_linking": op9_quotation_linking,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {}
