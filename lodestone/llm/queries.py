@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality
+from . import bpe, chat, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_pii": op8_pii,
     "op9_quotation_linking": op9_quotation_linking,
     "op10_language_id": op10_language_id,
