@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import ship, slices
 
 #: Characters in a leaf.
 LEAF = 8192
@@ -151,6 +151,7 @@ def _coder(shared, pattern: str, leaf: int) -> TreeBpe:
 
 def _ranks(df: DataFrame, path: str):
     """The vocabulary (its size is that of a public file, fixed) is sent to each executor once."""
+    ship(df.sparkSession)
     return df.sparkSession.sparkContext.broadcast({"name": path, "ranks": load_ranks(path)})
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +17,24 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = Path(tempfile.mkdtemp(prefix="lodestone-")) / "lodestone_package.zip"  # the driver serves it until it ends
+    atexit.register(shutil.rmtree, path.parent, ignore_errors=True)
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "lodestone").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, slices, span_hashes, spans, utf8, written
+from .common import LOWER, ship, slices, span_hashes, spans, utf8, written
 
 #: Words in a window.
 WINDOW = 10
@@ -61,6 +61,7 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The index: one row for each block."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for b in slices(batches, text, BLOCK_BYTES):
@@ -148,6 +149,7 @@ class Block:
 
 def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """The distinct windows of the items: hashes (array<long>) and items (sorted array<long>)."""
+    ship(items.sparkSession)
     schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType(), False))])
 
     def run(batches):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import ship, slices
 
 #: The sample: at most so many texts and characters of a language.
 SAMPLE_ROWS = 400
@@ -185,6 +185,7 @@ _parsers: dict[int, CrossParser] = {}
 
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """docs with the predicted language and its score (the winner's share of the inverse costs)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(samples)
     docs = docs.drop(lang, score)
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType(), False), T.StructField(score, T.DoubleType(), False)])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE64, mix, powers, release, slices, utf8, written
+from .common import BYTE64, mix, powers, release, ship, slices, utf8, written
 
 #: Bytes of a string that must not start twice.
 LENGTH = 400
@@ -267,6 +267,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, removed (array of spans of bytes, end exclusive) and kept (binary) of each row."""
     if not V <= length or not 1 <= gram <= length:
         raise ValueError(f"length must be {V} or more, and gram from 1 to length")
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text").withColumn("row", row_key())
     both = docs.join(repeats(docs, length, gram), "row", "left").select("doc_id", "text", "windows")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
