@@ -23,7 +23,7 @@ def seed(base: str = "seed", i: str = "i") -> str:
 
 
 def plan_jobs(theorems: DataFrame, model: DataFrame, n: int) -> DataFrame:
-    """name, i, attempt_key, prompt, seed, window and request (JSON) of each attempt.
+    """name, i, attempt_key, prompt, seed, served_window and request (JSON) of each attempt.
 
     model: rows of the registry (one for each model to plan). The prompt is
     rendered once for each problem, below the generator of attempts.
@@ -32,9 +32,9 @@ def plan_jobs(theorems: DataFrame, model: DataFrame, n: int) -> DataFrame:
     user = rows.withColumn("user", F.expr(prompts.prompt_for(SPARK, "prompt_format")))
     chat = prompts.chat_for(SPARK, "architecture", "user", "system_prompt", "prompt_format")
     jobs = attempts_grid(user.withColumn("prompt", F.expr(chat)), n)
-    jobs = jobs.withColumn("job_seed", F.expr(seed("seed", "i"))).withColumn("window", F.expr(served_window()))
+    jobs = jobs.withColumn("job_seed", F.expr(seed("seed", "i"))).withColumn("served_window", F.expr(served_window()))
     request = F.to_json(F.struct("prompt", "max_tokens", "temperature", "top_p", F.col("job_seed").alias("seed"), F.col("stop_sequences").alias("stop")))
-    return jobs.select("model", "name", "i", F.concat(F.lit("attempt_"), (F.col("i") + 1).cast("string")).alias("attempt_key"), "prompt", F.col("job_seed").alias("seed"), "window", request.alias("request"))
+    return jobs.select("model", "name", "i", F.concat(F.lit("attempt_"), (F.col("i") + 1).cast("string")).alias("attempt_key"), "prompt", F.col("job_seed").alias("seed"), "served_window", request.alias("request"))
 
 
 def micro_batches(df: DataFrame, size: int, column: str = "i") -> DataFrame:

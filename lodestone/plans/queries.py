@@ -131,9 +131,9 @@ for _arch in [*prompts.ARCHITECTURES, "fallback"]:
 ATTEMPTS = 3
 frame(
     "jobs",
-    lambda s, d: jobs.plan_jobs(view(s, d, "theorems"), registry.models(s), ATTEMPTS).select("model", "name", "i", "attempt_key", "prompt", "seed", "window"),
+    lambda s, d: jobs.plan_jobs(view(s, d, "theorems"), registry.models(s), ATTEMPTS).select("model", "name", "i", "attempt_key", "prompt", "seed", "served_window"),
     f"{ctes(DUCK, '', 'theorems', 'models')} SELECT m.name AS model, t.name, CAST(g.i AS INT) AS i, concat('attempt_', CAST(g.i + 1 AS VARCHAR)) AS attempt_key, "
-    f"{prompts.chat_for(DUCK, 'm.architecture', prompts.prompt_for(DUCK, 'm.prompt_format'), 'm.system_prompt', 'm.prompt_format')} AS prompt, {jobs.seed('m.seed', 'g.i')} AS seed, {registry.served_window('m.max_tokens', 'm.max_model_len')} AS window "
+    f"{prompts.chat_for(DUCK, 'm.architecture', prompts.prompt_for(DUCK, 'm.prompt_format'), 'm.system_prompt', 'm.prompt_format')} AS prompt, {jobs.seed('m.seed', 'g.i')} AS seed, {registry.served_window('m.max_tokens', 'm.max_model_len')} AS served_window "
     f"FROM theorems t CROSS JOIN models m CROSS JOIN range({ATTEMPTS}) g(i)",
 )
 _FIELDS = "model string, prompt string, max_tokens bigint, temperature double, top_p double, seed bigint, stop array<string>"
