@@ -57,13 +57,13 @@ def normal(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.where(is_letter, codes, 32)
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]  # of a run, the first
-    keep[ends[1:-1][ends[1:-1] < len(keep)]] = True
+    keep[ends[:-1][ends[:-1] < len(keep)]] = True  # a text does not depend on the one before it
     before = np.concatenate([[0], np.cumsum(keep)])
     return codes[keep], before[ends]
 
 
 def automaton(text: str, alphabet: dict[str, int], width: int) -> np.ndarray:
-    """The transition table, flat: next state * 2 + whether a phrase ended. width: a power of two over the alphabet."""
+    """The transition table, flat: next state * 2 + whether a phrase begins. width: a power of two over the alphabet."""
     nxt: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -95,8 +95,10 @@ def automaton(text: str, alphabet: dict[str, int], width: int) -> np.ndarray:
     for s, row in enumerate(nxt):
         if row:
             table[s, list(row)] = list(row.values())
-    root = np.where(table[0] >= 0, table[0], 0)
-    return np.where(table >= 0, table * 2, root * 2 + 1).astype(np.int32).ravel()
+    # the last state stands before a phrase: each character begins one there, and one that the sample lacks is a phrase
+    void = len(nxt)
+    begin = np.where(table[0] >= 0, table[0], void) * 2 + 1
+    return np.vstack([np.where(table >= 0, table * 2, begin), begin]).astype(np.int32).ravel()
 
 
 class CrossParser:
@@ -141,14 +143,14 @@ class CrossParser:
         symbols = self.codes[codes]
         shift = self.width.bit_length() - 1
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(doc), np.int64)
-            ended = np.ones(len(doc), np.int64)
+            state = np.full(len(doc), (len(table) >> shift) - 1, np.int64)
+            begun = np.zeros(len(doc), np.int64)
             for t in range(steps):
                 m = active[t]
                 e = table[(state[:m] << shift) | symbols[start[:m] + t]]
                 state[:m] = e >> 1
-                ended[:m] += e & 1
-            counts[:, k] = np.bincount(doc, ended, n).astype(np.int64)
+                begun[:m] += e & 1
+            counts[:, k] = np.bincount(doc, begun, n).astype(np.int64)
         return counts, has
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
