@@ -7,13 +7,14 @@ components. The steps:
 1. Count shingles in a sketch of fixed size over all texts; it fixes the global
    order of tokens, rare ones first. Keep of each distinct set the prefix that
    any linked set must meet (the prefix filter), with positions.
-2. Of the tokens that several sets share, compare each set with the first and
-   the last one that holds the token. The verified links give groups of similar
+2. Of the tokens that several sets share, compare each set with the first
+   LEADERS ones in which the token comes earliest. The verified links give groups of similar
    documents, in a number of pairs that is linear in the tokens.
 3. Token-group matrix: for each token the groups whose union holds it, with the
-   ranges of sizes and the least position. A query's overlap with a group is
-   bounded from these; only groups that can hold a linked set of another
-   group are opened, and the members that share the token are compared.
+   ranges of sizes, the least position and the parity bits that all members have
+   alike. A query's overlap with a group is bounded from these; only groups that
+   can hold a linked set of another group are opened, and the members that share
+   the token are compared.
 4. Components over all verified links.
 
 Step 3 leaves out only pairs within one group, whose link cannot change a
@@ -31,12 +32,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import LOWER, mix, slices, span_hashes, spans, utf8, written
+from .common import LOWER, mix, release, ship, slices, span_hashes, spans, utf8, written
 from .graph import components
 
 #: Counters of the sketch that orders tokens: a fixed 4 MB.
 COUNTERS = 1 << 20
 _CHUNK = 1 << 12
+#: Bits of a set's parity sketch; bytes of text or hashes worked on at once.
+BITS = 1024
+SLICE = 1 << 20
+#: Sets of a token that all others with the token are compared with first: those in which it comes earliest, which have the least tokens of their own.
+LEADERS = 8
+#: The parity folded into WORDS 64-bit numbers, which travel with the tokens.
+WORDS = 4
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
 
@@ -68,13 +76,24 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
+def parity(x: np.ndarray) -> bytes:
+    """BITS bits, each the parity of the hashes that fall on it."""
+    return np.packbits(np.bincount((x >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1 == 1).tobytes()
+
+
+def set_key(x: np.ndarray) -> int:
+    """A 64-bit hash of a set."""
+    m = mix(x)
+    return int(mix(m.sum(dtype=np.uint64, keepdims=True) ^ mix(np.bitwise_xor.reduce(mix(x * np.uint64(7)), keepdims=True))).astype(np.int64)[0])
+
+
 def frequencies(docs: DataFrame, n: int, text: str = "text") -> np.ndarray:
     """Counts of shingles by their last bits, over all texts: COUNTERS numbers."""
     part = T.StructType([T.StructField("chunk", T.IntegerType(), False), T.StructField("counts", T.BinaryType(), False)])
 
     def count(batches):
         total = np.zeros(COUNTERS, np.int64)
-        for b in slices(batches, text):
+        for b in slices(batches, text, SLICE):
             sets = shingle_sets(b.column(text), n)
             total += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
         if total.any():
@@ -96,23 +115,24 @@ def frequencies(docs: DataFrame, n: int, text: str = "text") -> np.ndarray:
 
 def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """doc_id, n (set size), key (of the set) and prefix (tokens in order) of each text."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n", T.LongType(), False), T.StructField("key", T.LongType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n", T.LongType(), False), T.StructField("key", T.LongType(), False), T.StructField("parity", T.BinaryType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         counts = shared.value
-        for b in slices(batches, "text"):
-            sizes, keys, kept = [], [], []
+        for b in slices(batches, "text", SLICE):
+            sizes, keys, bits, kept = [], [], [], []
             for x in shingle_sets(b.column("text"), n):
                 size = len(x)
                 sizes.append(size)
-                keys.append(int(mix(np.array([mix(x).sum(dtype=np.uint64)]) ^ mix(np.bitwise_xor.reduce(mix(x * np.uint64(7)), keepdims=True) if size else np.zeros(1, np.uint64)))[0].astype(np.int64)))
+                keys.append(set_key(x) if size else 0)
+                bits.append(parity(x))
                 p = size - (percent * size + 99) // 100 + 1 if size else 0
                 c = counts[(x & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 kept.append(x[np.lexsort((x, c))[:p]].astype(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists], schema.names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary()), lists], schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -123,74 +143,124 @@ def may_link(n: Column, i: Column, m: Column, j: Column, percent: int) -> Column
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs a, b (keys) those that link; sets: key and its hashes."""
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
+def at_most(n: Column, m: Column, percent: int) -> Column:
+    """In how many shingles two linked sets of these sizes differ at most."""
+    return n + m - 2 * F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+
+
+def apart(x: str, y: str) -> Column:
+    """Bits in which the folded parities of x and y differ."""
+    return sum(F.bit_count(F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))) for k in range(WORDS))
+
+
+def fits(x: str, y: str, percent: int) -> Column:
+    """Length, positional and parity filters on two entries of one token."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return may_link(n, F.col(f"{x}.pos"), m, F.col(f"{y}.pos"), percent) & (apart(x, y) <= at_most(n, m, percent))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Of the pairs a, b (keys) those that link; sets: key, rep, n and parity of each set.
+
+    The parity of a set's hash bits differs in no more of BITS bits than two sets
+    differ in shingles, so it rules out nearly all pairs that do not link before
+    any text is fetched. The others are compared on their whole sets.
+    """
+    side = lambda k: sets.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
+    def may(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("pa", "pb"))
+            total = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            least = -(-percent * total // (100 + percent))  # of the intersection
+            keep = np.bitwise_count(x ^ y).sum(1) <= total - 2 * least
+            yield b.filter(pa.array(keep)).select(["a", "b"])
+
+    near = written(near.mapInArrow(may, schema), "near")
+    release(docs.sparkSession)
+    keys = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    reps = sets.select("key", F.col("rep").alias("doc_id")).join(keys, "key")
+    texts = docs.join(reps, "doc_id")
+    whole = T.StructType([T.StructField("key", T.LongType()), T.StructField("hashes", T.BinaryType(), False)])
+
+    def hashes(batches):
+        for b in slices(batches, "text", SLICE):
+            # a repeated id may have rows of other texts; the one with the key counts
+            own = [(k, x.tobytes()) for k, x in zip(b.column("key").to_pylist(), shingle_sets(b.column("text"), n)) if len(x) and set_key(x) == k]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int64()), pa.array([x for _, x in own], pa.binary())], whole.names)
+
+    found = written(texts.select("key", "text").mapInArrow(hashes, whole), "shingles")
+    release(docs.sparkSession)
+    both = near.join(found.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(found.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
+
     def run(batches):
-        for b in slices(batches, "x", 1 << 20):
+        for b in slices(batches, "x", SLICE):
             keep = []
             for x, y in zip(b.column("x"), b.column("y")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            b = b.filter(pa.array(keep, pa.bool_()))
-            yield b.select(["a", "b"])
+            yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, schema)
+    return both.select("a", "b", "x", "y").mapInArrow(run, schema).distinct()
 
 
 def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = written(prefixes(docs, frequencies(docs, n), n, percent), "sets")
-    sets = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = sets.select("key", "rep", "n", F.posexplode("prefix").alias("pos", "token"))
+    # one document of each set; only its columns that a step needs are read and sent
+    sets = written(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix")), "classes")
+    release(docs.sparkSession)
+    entries = sets.select("key", "n", F.posexplode("prefix").alias("pos", "token"))
     by_size = Window.partitionBy("token").orderBy("n", "key")
     near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
     # only tokens that a set of fitting size shares
     entries = written(entries.withColumn("near", near).where("near").drop("near"), "entries")
-
-    needed = entries.select("key", "rep").distinct()
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("hashes", T.BinaryType(), False)])
-
-    def hashes(batches):
-        for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([x.tobytes() for x in shingle_sets(b.column("text"), n)], pa.binary())], ["key", "hashes"])
-
-    own = rows.select("doc_id", "key").join(needed.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"], "left_semi").distinct()
-    shingles = written(docs.join(own, "doc_id").select("key", "text").mapInArrow(hashes, schema).dropDuplicates(["key"]), "shingles")
-
-    bucket = Window.partitionBy("token")
-    ends = entries.select("token", "key", "n", "pos", F.min(F.struct("key", "n", "pos")).over(bucket).alias("lo"), F.max(F.struct("key", "n", "pos")).over(bucket).alias("hi"))
-    stars = None
-    for side in ("lo", "hi"):
-        one = ends.where(F.col("key") != F.col(f"{side}.key")).where(may_link(F.col("n"), F.col("pos"), F.col(f"{side}.n"), F.col(f"{side}.pos"), percent))
-        one = one.select(F.least("key", f"{side}.key").alias("a"), F.greatest("key", f"{side}.key").alias("b"))
-        stars = one if stars is None else stars.unionByName(one)
-    links = written(verified(stars.distinct(), shingles, percent), "links")
+    release(docs.sparkSession)
+
+    folded = sets.select("key", *[F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"w{k}") for k in range(BITS // 64)])
+    words = [folded[f"w{k}"] for k in range(BITS // 64)]
+    fold = lambda k: words[k].bitwiseXOR(words[k + 4]).bitwiseXOR(words[k + 8]).bitwiseXOR(words[k + 12])
+    entries = written(entries.join(folded.select("key", *[fold(k).alias(f"s{k}") for k in range(WORDS)]), "key"), "entries")
+    release(docs.sparkSession)
+
+    rank = F.row_number().over(Window.partitionBy("token").orderBy("pos", "key"))
+    leaders = entries.withColumn("rank", rank).where(F.col("rank") <= LEADERS).drop("rank")
+    stars = entries.alias("x").join(leaders.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & fits("x", "y", percent))
+    stars = stars.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    links = written(verified(stars, sets, docs, n, percent), "links")
     groups = written(components(links), "groups")
 
-    member = entries.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key")).drop("component", "rep")
+    member = entries.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key")).drop("component")
     member = written(member, "members")
-    matrix = member.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"))
-    shared = matrix.withColumn("groups", F.count("*").over(bucket)).where("groups > 1").drop("groups")
+    common = [f(f"s{k}").alias(f"{name}{k}") for k in range(WORDS) for name, f in (("every", F.bit_and), ("any", F.bit_or))]
+    matrix = member.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"), *common)
+    shared = matrix.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where("groups > 1").drop("groups")
     shared = written(shared, "matrix")
     query = member.join(shared.select("token", "group"), ["token", "group"], "left_semi")
     q, g = query.alias("q"), shared.alias("g")
-    fit = F.greatest(F.least(F.col("q.n"), F.col("g.high")), F.col("g.low"))  # the size in the group's range that suits the query best
-    bound = may_link(F.col("q.n"), F.col("q.pos"), fit, F.lit(0), percent) & ((100 + percent) * (F.col("g.high") - F.col("g.first")) >= percent * (F.col("q.n") + F.col("g.low")))
-    opened = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & bound).select("q.token", F.col("q.key").alias("a"), F.col("q.n").alias("na"), F.col("q.pos").alias("ia"), F.col("g.group").alias("group"))
-    pairs = opened.join(query.select("token", "group", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib")), ["token", "group"])
-    pairs = pairs.where(may_link(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), percent)).select("a", "b").distinct()
-    more = written(verified(pairs, shingles, percent), "links")
+    size = F.col("q.n")
+    fit = F.greatest(F.least(size, F.col("g.high")), F.col("g.low"))  # the size in the group's range that suits the query best
+    most = F.least(F.col("g.high"), F.floor(100 * size / F.lit(percent)))
+    # bits that all members have alike and the query otherwise
+    unlike = sum(
+        F.bit_count(F.col(f"q.s{k}").bitwiseXOR(F.col(f"g.every{k}")).bitwiseAND(F.col(f"g.every{k}").bitwiseOR(F.bitwise_not(F.col(f"g.any{k}")))))
+        for k in range(WORDS)
+    )
+    bound = may_link(size, F.col("q.pos"), fit, F.lit(0), percent) & ((100 + percent) * (F.col("g.high") - F.col("g.first")) >= percent * (size + F.col("g.low"))) & (unlike <= at_most(size, most, percent))
+    opened = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & bound)
+    opened = opened.select("q.token", "q.key", "q.n", "q.pos", *[f"q.s{k}" for k in range(WORDS)], F.col("g.group").alias("group"))
+    pairs = opened.alias("x").join(query.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.group") == F.col("y.group")) & fits("x", "y", percent))
+    pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    more = written(verified(pairs, sets, docs, n, percent), "links")
     found = components(links.unionByName(more))
 
-    ids = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep")).join(found.withColumnRenamed("node", "key"), "key")
-    least = ids.groupBy("component").agg(F.min("rep").alias("least"))
-    named = ids.join(least, "component").select("key", "least")
-    alone = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    named = alone.join(named, "key", "left").select("key", F.coalesce("least", "rep").alias("component_id"))
+    ids = sets.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = ids.join(least, "component").select("key", "component_id")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key")).join(named, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
