@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -143,4 +144,5 @@ def spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
+    time.sleep(0.3)  # the gateway drops its references in the background
     spark.sparkContext._jvm.System.gc()

@@ -42,9 +42,17 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def words_of(line: Column) -> Column:
-    """The distinct word hashes of a line."""
-    return F.array_distinct(F.transform(F.filter(F.split(line, " "), lambda w: w != ""), lambda w: F.xxhash64(w)))
+def order_key(word: Column, rank: Column) -> Column:
+    """A bijection of the word's hash: the rank of its first 16 bits, then the other 48."""
+    h = F.xxhash64(word)
+    first = F.coalesce(F.get(rank, F.shiftrightunsigned(h, 48).cast("int")), F.lit(0))  # never null, so arrays of keys sort as numbers
+    return F.shiftleft(first, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
+
+
+def words_of(line: Column, rank: Column) -> Column:
+    """The order keys of a line's distinct words, rarest first."""
+    keys = F.transform(F.split(line, " "), lambda w: order_key(w, rank))
+    return F.sort_array(F.array_distinct(F.array_remove(keys, order_key(F.lit(""), rank))))
 
 
 def ranks(docs: DataFrame) -> Column:
@@ -60,12 +68,6 @@ def ranks(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<bigint>")
 
 
-def order_keys(hashes: Column, rank: Column) -> Column:
-    """The hashes as order keys (rank, other 48 bits), in order."""
-    key = lambda h: F.shiftleft(F.get(rank, F.shiftrightunsigned(h, 48).cast("int")), 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
-    return F.sort_array(F.transform(hashes, key))
-
-
 def parity(hashes: Column) -> Column:
     one = F.lit(1).cast("long")
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))))
@@ -95,22 +97,25 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     docs = docs.select("doc_id", "text").where("text is not null")
     rank = ranks(docs)
     lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "value"))
-    lines = lines.select("doc_id", "line", let(words_of(F.col("value")), lambda h: F.struct(h.alias("h"), order_keys(h, rank).alias("k"))).alias("s"))
-    n = F.size("s.h")
+    lines = lines.select("doc_id", "line", words_of(F.col("value"), rank).alias("k"))
+    n = F.size("k")
     least = n - F.ceil(F.lit(percent) * n / F.lit(100)).cast("int") + 1
-    lines = lines.where(n > 0).select("doc_id", "line", n.alias("n"), F.xxhash64("s.k").alias("key"), parity(F.col("s.h")).alias("sig"), F.slice("s.k", 1, least).alias("prefix"))
+    lines = lines.where(n > 0).select("doc_id", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
     lines = written(lines, "lines")
     at = F.struct("doc_id", "line")
-    classes = lines.groupBy("key").agg(F.min(at).alias("at"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
-    entries = classes.select("key", "at", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
+    classes = lines.groupBy("key").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
+    entries = classes.select("key", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
     x, y = entries.alias("x"), entries.alias("y")
     some = (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & plausible(of("x"), of("y"), percent)
     near = written(x.join(y, some, "left_semi"), "near")
     release(docs.sparkSession)
+    first_of = written(lines.groupBy("key").agg(F.min(at).alias("at")), "firsts")
+    near = written(near.join(first_of, "key"), "near")
+    release(docs.sparkSession)
 
     need = near.select("key", "at.doc_id", "at.line").distinct()
     wanted = need.groupBy("doc_id").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))  # at most the lines of a document
-    sets = docs.join(wanted, "doc_id").select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"])).alias("h")))).alias("s"))
+    sets = docs.join(wanted, "doc_id").select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
     sets = written(sets.select(F.explode("s").alias("s")).select("s.key", "s.h").dropDuplicates(["key"]), "words")
     release(docs.sparkSession)
 
@@ -123,19 +128,23 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
     similar = decided.unionByName(verified(rest, sets, percent))
 
+    release(docs.sparkSession)
     # every line but the first of each set, and the first of those similar to an earlier one
-    firsts = classes.select("key", "at").join(similar.withColumn("similar", F.lit(True)), "key", "left")
+    firsts = first_of.join(similar.withColumn("similar", F.lit(True)), "key", "left")
     gone = lines.select("doc_id", "line", "key").join(firsts, "key").where((at != F.col("at")) | F.col("similar"))
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
 
 
 def dedup(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
-    """docs with their text without removed lines, n_lines and n_removed."""
-    gone = removed_lines(docs, percent)
-    out = docs.drop("gone", "n_lines", "n_removed").join(gone, "doc_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    parts = F.transform(lines_of(F.col("text")), lambda v, k: F.when(~F.array_contains(F.col("gone"), k), v))
-    kept = F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(F.array_compact(parts), "\n"))
-    return out.withColumns({"n_lines": F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long"), "n_removed": F.size("gone").cast("long")}).withColumn("text", kept).drop("gone").select(*docs.columns, "n_lines", "n_removed")
+    """docs with their text without removed lines, n_lines and n_removed (which replace columns of these names)."""
+    gone = removed_lines(docs, percent).withColumnRenamed("gone", "_gone_lines")
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_gone_lines")]
+    out = docs.select(own).join(gone, "doc_id", "left")
+    gone = F.coalesce("_gone_lines", F.array().cast("array<int>"))
+    parts = F.transform(lines_of(F.col("text")), lambda v, k: F.when(~F.array_contains(gone, k), v))
+    kept = F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(F.array_compact(parts), "\n"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines_of(F.col("text")))).cast("long")
+    return out.select(*[kept.alias(c) if c == "text" else c for c in own], n_lines.alias("n_lines"), F.size(gone).cast("long").alias("n_removed"))
 
 
 def digest(deduped: DataFrame) -> DataFrame:
