@@ -148,6 +148,22 @@ def at_most(n: Column, m: Column, percent: int) -> Column:
     return n + m - 2 * F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
 
 
+def may_hold(n: Column, i: Column, low: Column, high: Column, first: Column, unlike: Column, percent: int) -> Column:
+    """Whether a group can hold a set that links with one of n shingles, which has the shared token at position i.
+
+    The group's sizes are from low to high, its least position of the token is
+    first, and all its members differ from the set in unlike bits at least. What
+    follows i is the easier to match the smaller a member is, and what follows
+    first the larger it is.
+    """
+    least = F.greatest(low, F.ceil(percent * n / F.lit(100)))
+    most = F.least(high, F.floor(100 * n / F.lit(percent)))
+    # at_most falls by one at some sizes, but never at two in a row
+    differ = F.greatest(at_most(n, most, percent), at_most(n, F.greatest(most - 1, least), percent))
+    ends = ((100 + percent) * (n - i) >= percent * (n + least)) & ((100 + percent) * (most - first) >= percent * (n + most))
+    return (least <= most) & ends & (unlike <= differ)
+
+
 def apart(x: str, y: str) -> Column:
     """Bits in which the folded parities of x and y differ."""
     return sum(F.bit_count(F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))) for k in range(WORDS))
@@ -243,15 +259,12 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     shared = written(shared, "matrix")
     query = member.join(shared.select("token", "group"), ["token", "group"], "left_semi")
     q, g = query.alias("q"), shared.alias("g")
-    size = F.col("q.n")
-    fit = F.greatest(F.least(size, F.col("g.high")), F.col("g.low"))  # the size in the group's range that suits the query best
-    most = F.least(F.col("g.high"), F.floor(100 * size / F.lit(percent)))
     # bits that all members have alike and the query otherwise
     unlike = sum(
         F.bit_count(F.col(f"q.s{k}").bitwiseXOR(F.col(f"g.every{k}")).bitwiseAND(F.col(f"g.every{k}").bitwiseOR(F.bitwise_not(F.col(f"g.any{k}")))))
         for k in range(WORDS)
     )
-    bound = may_link(size, F.col("q.pos"), fit, F.lit(0), percent) & ((100 + percent) * (F.col("g.high") - F.col("g.first")) >= percent * (size + F.col("g.low"))) & (unlike <= at_most(size, most, percent))
+    bound = may_hold(F.col("q.n"), F.col("q.pos"), F.col("g.low"), F.col("g.high"), F.col("g.first"), unlike, percent)
     opened = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & bound)
     opened = opened.select("q.token", "q.key", "q.n", "q.pos", *[f"q.s{k}" for k in range(WORDS)], F.col("g.group").alias("group"))
     pairs = opened.alias("x").join(query.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.group") == F.col("y.group")) & fits("x", "y", percent))

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from brute import KINDS, components, leaks, lines, luhn, personal, repeats, sha
+from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, chat, decontam, fingerprint, graph, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
 from lodestone.llm.queries import BPE_FILE
@@ -99,6 +100,34 @@ def test_ngram_join_bridges(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link(d, 1, 80).collect()} == want
 
 
+def test_ngram_join_mixed_sizes(spark):
+    """A group is opened for its smaller members, which alone link with a larger set."""
+    common = [f"c{k}" for k in range(100)]
+    texts = [" ".join(common)] * 30
+    for u in range(8):
+        rare, often = [f"u{u}x{k}" for k in range(20)], [f"u{u}y{k}" for k in range(67)]
+        core = " ".join(rare + often)
+        texts += [" ".join(often)] * 30
+        # 88 and 98 words, one group; 100 words, of which 87 link with the 88
+        texts += [f"{core} u{u}p", f"{core} u{u}p " + " ".join(common[:10]), core + "".join(f" u{u}q{k}" for k in range(13))]
+        # more than LEADERS other sets that have the rare words first
+        texts += [" ".join(rare + random.Random(100 * u + k).sample(common, 30)) for k in range(ngram_join.LEADERS + 1)]
+    d = table(spark, texts)
+    want = components(pairs_of(d), 1, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link(d, 1, 85).collect()} == want
+
+
+@pytest.mark.parametrize("percent", [50, 85, 100])
+def test_ngram_join_group_bound(spark, percent):
+    """A group with a member that passes the filters of two sets passes its own."""
+    numbers = lambda c, top, first=0: spark.range(first, top).select(F.col("id").alias(c))
+    sets = numbers("n", 25, 1).join(numbers("i", 6), F.col("i") < F.col("n")).join(numbers("m", 25, 1)).join(numbers("j", 6), F.col("j") < F.col("m"))
+    sets = sets.where(ngram_join.may_link(F.col("n"), F.col("i"), F.col("m"), F.col("j"), percent))
+    groups = sets.join(numbers("less", 4)).join(numbers("more", 4)).where("less < m")
+    bound = ngram_join.may_hold(F.col("n"), F.col("i"), F.col("m") - F.col("less"), F.col("m") + F.col("more"), F.col("j"), ngram_join.at_most(F.col("n"), F.col("m"), percent), percent)
+    assert groups.count() > 0 and groups.where(~bound).isEmpty()
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(0, 30)] + [(50, 40), (41, 50), (7, 7), (41, 50)]
     got = dict(rows(graph.components(spark.createDataFrame(links, "a long, b long"))))
