@@ -21,6 +21,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: By suffix of a query's name the attempts it reads: with texts cut to 400 characters, or whole.
+ATTEMPTS_OF = {"": "attempts", "_whole": "whole_attempts"}
+
+
 def both(name: str, render: Callable[[Dialect, str], str]) -> None:
     """A query that each dialect renders."""
     QUERIES[name] = lambda spark, sf_dir: spark.sql(render(SPARK, sf_dir))
@@ -40,7 +44,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def on_raw(name: str, column: str, op: Callable[..., str]) -> None:
     """A text operator over the raw completions."""
-    both(name, lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT theorem, attempt_key, {op(d, 'raw')} AS {column} FROM attempts")
+    for suffix, attempts in ATTEMPTS_OF.items():
+        both(name + suffix, lambda d, sf, a=attempts: f"{ctes(d, sf, a)} SELECT theorem, attempt_key, {op(d, 'raw')} AS {column} FROM {a}")
 
 
 # the registry
@@ -72,11 +77,12 @@ both(
     "decode_for_architecture",
     lambda d, sf: f"{ctes(d, sf, 'theorems', 'models')} SELECT t.name, m.name AS model, {t.decode_for(d, 'm.architecture', t.byte_encode(d, 't.formal_statement'))} AS decoded FROM theorems t CROSS JOIN models m",
 )
-both(
-    "fence_candidates",
-    lambda d, sf: f"{ctes(d, sf, 'attempts')}, c AS (SELECT theorem, attempt_key, {t.fence_candidates(d, 'raw')} AS c FROM attempts) "
-    f"SELECT theorem, attempt_key, CAST({d.size('c')} AS BIGINT) AS n, CAST({d.greatest_of(d.map('c', lambda v: f'{v}.score'))} AS BIGINT) AS best, {d.join(d.map('c', lambda v: f'{v}.code'), '|')} AS codes FROM c",
-)
+for _suffix, _attempts in ATTEMPTS_OF.items():
+    both(
+        "fence_candidates" + _suffix,
+        lambda d, sf, a=_attempts: f"{ctes(d, sf, a)}, c AS (SELECT theorem, attempt_key, {t.fence_candidates(d, 'raw')} AS c FROM {a}) "
+        f"SELECT theorem, attempt_key, CAST({d.size('c')} AS BIGINT) AS n, CAST({d.greatest_of(d.map('c', lambda v: f'{v}.score'))} AS BIGINT) AS best, {d.join(d.map('c', lambda v: f'{v}.code'), '|')} AS codes FROM c",
+    )
 
 
 def _responses(d: Dialect) -> str:
@@ -93,26 +99,27 @@ both("completion_text", lambda d, sf: f"{ctes(d, sf, 'attempts')}, r AS (SELECT
 _DUCK_PARTS = "t.header, t.informal_prefix, t.formal_statement"
 
 
-def _extracted(mode: str) -> str:
+def _extracted(mode: str, attempts: str = "attempts") -> str:
     return (
-        f"{ctes(DUCK, '', 'theorems', 'attempts')}, e AS MATERIALIZED (SELECT a.theorem, a.attempt_key, a.raw, {_DUCK_PARTS}, {ex.extract(DUCK, 'a.raw', mode)} AS x FROM attempts a JOIN theorems t ON a.theorem = t.name), "
+        f"{ctes(DUCK, '', 'theorems', attempts)}, e AS MATERIALIZED (SELECT a.theorem, a.attempt_key, a.raw, {_DUCK_PARTS}, {ex.extract(DUCK, 'a.raw', mode)} AS x FROM {attempts} a JOIN theorems t ON a.theorem = t.name), "
         f"r AS MATERIALIZED (SELECT theorem, attempt_key, CAST(x.strategy AS INT) AS strategy, x.proof AS proof, {ex.assemble(DUCK, 'header', 'informal_prefix', 'formal_statement', 'x.proof', mode)} AS lean FROM e) "
     )
 
 
-def _re_extract(spark: SparkSession, sf_dir: str, mode: str = "default") -> DataFrame:
-    return ex.re_extract(view(spark, sf_dir, "attempts"), view(spark, sf_dir, "theorems"), mode).select("theorem", "attempt_key", "strategy", "proof", "lean")
+def _re_extract(spark: SparkSession, sf_dir: str, mode: str = "default", attempts: str = "attempts") -> DataFrame:
+    return ex.re_extract(view(spark, sf_dir, attempts), view(spark, sf_dir, "theorems"), mode).select("theorem", "attempt_key", "strategy", "proof", "lean")
 
 
 _RATE = "SELECT count(*) AS total, count(*) FILTER (WHERE lean <> '') AS recovered, round(CASE WHEN count(*) > 0 THEN 100.0 * count(*) FILTER (WHERE lean <> '') / count(*) ELSE 0 END, 1) AS rate FROM r"
 for _mode, _suffix in (("default", ""), ("strict", "_stp")):
-    frame("re_extract" + _suffix, lambda s, d, m=_mode: _re_extract(s, d, m), _extracted(_mode) + "SELECT theorem, attempt_key, strategy, proof, lean FROM r")
-    frame("re_extract_rate" + _suffix, lambda s, d, m=_mode: ex.recovery(_re_extract(s, d, m)), _extracted(_mode) + _RATE.replace("round(", "round(CAST(", 1).replace(" END, 1)", " END AS DOUBLE), 1)"))
-    frame(
-        "extract_strategy_counts" + _suffix,
-        lambda s, d, m=_mode: _re_extract(s, d, m).groupBy("strategy").agg(F.count("*").alias("n"), F.count_if(F.col("lean") != "").alias("recovered")),
-        _extracted(_mode) + "SELECT strategy, count(*) AS n, count(*) FILTER (WHERE lean <> '') AS recovered FROM r GROUP BY strategy",
-    )
+    for _whole, _attempts in ATTEMPTS_OF.items():
+        frame("re_extract" + _suffix + _whole, lambda s, d, m=_mode, a=_attempts: _re_extract(s, d, m, a), _extracted(_mode, _attempts) + "SELECT theorem, attempt_key, strategy, proof, lean FROM r")
+        frame("re_extract_rate" + _suffix + _whole, lambda s, d, m=_mode, a=_attempts: ex.recovery(_re_extract(s, d, m, a)), _extracted(_mode, _attempts) + _RATE.replace("round(", "round(CAST(", 1).replace(" END, 1)", " END AS DOUBLE), 1)"))
+        frame(
+            "extract_strategy_counts" + _suffix + _whole,
+            lambda s, d, m=_mode, a=_attempts: _re_extract(s, d, m, a).groupBy("strategy").agg(F.count("*").alias("n"), F.count_if(F.col("lean") != "").alias("recovered")),
+            _extracted(_mode, _attempts) + "SELECT strategy, count(*) AS n, count(*) FILTER (WHERE lean <> '') AS recovered FROM r GROUP BY strategy",
+        )
 for _mode, _suffix in (("default", ""), ("strict", "_stp")):
     both("proof_file" + _suffix, lambda d, sf, m=_mode: f"{ctes(d, sf, 'theorems')} SELECT name, {ex.proof_file(d, 'header', 'informal_prefix', 'formal_statement', d.lit('  rfl'), m)} AS lean FROM theorems")
 
@@ -163,11 +170,12 @@ frame(
     lambda s, d: results.upsert(view(s, d, "attempts").where("attempt_index < 12").select("theorem", "attempt_key", "raw"), view(s, d, "attempts").where("attempt_index BETWEEN 8 AND 15").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw"))),
     f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw || CASE WHEN attempt_index >= 8 THEN ' new' ELSE '' END AS raw FROM attempts WHERE attempt_index < 16",
 )
-frame(
-    "merge_outer",
-    lambda s, d: results.merge_outer(view(s, d, "attempts").where("attempt_index < 12"), view(s, d, "attempts").where("attempt_index > 6").select("theorem", "attempt_key", F.md5("raw").alias("lean"))),
-    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, CASE WHEN attempt_index < 12 THEN raw ELSE '' END AS raw, CASE WHEN attempt_index > 6 THEN md5(raw) ELSE '' END AS lean FROM attempts",
-)
+for _suffix, _attempts in ATTEMPTS_OF.items():
+    frame(
+        "merge_outer" + _suffix,
+        lambda s, d, a=_attempts: results.merge_outer(view(s, d, a).where("attempt_index < 12"), view(s, d, a).where("attempt_index > 6").select("theorem", "attempt_key", F.md5("raw").alias("lean"))),
+        f"{ctes(DUCK, '', _attempts)} SELECT theorem, attempt_key, CASE WHEN attempt_index < 12 THEN raw ELSE '' END AS raw, CASE WHEN attempt_index > 6 THEN md5(raw) ELSE '' END AS lean FROM {_attempts}",
+    )
 frame(
     "key_union",
     lambda s, d: view(s, d, "theorems").select("name").union(view(s, d, "attempts").select("theorem")).distinct(),
@@ -192,14 +200,16 @@ both("theorem_counts", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT CASE WHE
 both("skip_n", lambda d, sf: f"{ctes(d, sf, 'theorems')}, o AS (SELECT name, row_number() OVER (ORDER BY item_id) AS place FROM theorems) SELECT name FROM o WHERE place > 7")
 both("sorted_names", lambda d, sf: f"{ctes(d, sf, 'done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM done")
 both("file_stem", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, {results.file_stem(d.concat(d.lit('org/'), 'name', d.lit(' v 1')))} AS stem FROM models")
-both("output_sizes", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT theorem, CAST(sum({d.octets('raw')}) AS BIGINT) AS bytes, round(CAST(CAST(sum({d.octets('raw')}) AS BIGINT) AS DOUBLE) / 1e6, 1) AS mb FROM attempts GROUP BY theorem")
+for _suffix, _attempts in ATTEMPTS_OF.items():
+    both("output_sizes" + _suffix, lambda d, sf, a=_attempts: f"{ctes(d, sf, a)} SELECT theorem, CAST(sum({d.octets('raw')}) AS BIGINT) AS bytes, round(CAST(CAST(sum({d.octets('raw')}) AS BIGINT) AS DOUBLE) / 1e6, 1) AS mb FROM {a} GROUP BY theorem")
 
 # nested documents
-frame(
-    "nest",
-    lambda s, d: results.nest(view(s, d, "attempts").select("theorem", "attempt_key", F.md5("raw").alias("v")), "v").select("theorem", F.to_json("attempts").alias("attempts")),
-    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, concat('{{', string_agg(concat('\"', attempt_key, '\":\"', md5(raw), '\"'), ',' ORDER BY attempt_key), '}}') AS attempts FROM attempts GROUP BY theorem",
-)
+for _suffix, _attempts in ATTEMPTS_OF.items():
+    frame(
+        "nest" + _suffix,
+        lambda s, d, a=_attempts: results.nest(view(s, d, a).select("theorem", "attempt_key", F.md5("raw").alias("v")), "v").select("theorem", F.to_json("attempts").alias("attempts")),
+        f"{ctes(DUCK, '', _attempts)} SELECT theorem, concat('{{', string_agg(concat('\"', attempt_key, '\":\"', md5(raw), '\"'), ',' ORDER BY attempt_key), '}}') AS attempts FROM {_attempts} GROUP BY theorem",
+    )
 frame(
     "unnest",
     lambda s, d: results.unnest(results.document(view(s, d, "attempts").where("attempt_index < 9"), "m", "raw"), "m"),

@@ -165,3 +165,29 @@ def test_oracle(spark):
         columns = sorted(mine.columns)
         other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
         assert sorted(map(repr, map(tuple, mine.select(*columns).collect()))) == sorted(map(repr, other)), name
+
+
+def test_whole_texts(spark, tmp_path):
+    """The _whole queries read what stands after the first 400 characters, as their SQL does."""
+    import duckdb
+    import spec
+
+    from lodestone.plans import queries as q
+
+    fence = "```"
+    text = lambda k: f"It is {k} words long. " * 40 + f"{fence}lean4\n  norm_num [h{k}]\n{fence}\n<think>b</think> /- c -/ end {k}"
+    spark.createDataFrame([(k, text(k)) for k in range(96)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, f"item {k}") for k in range(40)], "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    raw = {(r["theorem"], r["attempt_key"]): r["raw"] for r in q.view(spark, str(tmp_path), "whole_attempts").collect()}
+    assert sum(text(k) in x for k, x in enumerate(raw[f"item_{k % 40}", f"attempt_{k // 40 + 1}"] for k in range(96))) == 6 * 6
+    for name, op in (("strip_think", spec.think), ("strip_comments", spec.comments), ("best_fence", spec.fence)):
+        got = {(r[0], r[1]): r[2] for r in q.QUERIES[f"{name}_whole"](spark, str(tmp_path)).collect()}
+        assert got == {k: op(x) for k, x in raw.items()}
+    for name in ("re_extract_whole", "merge_outer_whole", "nest_whole", "output_sizes_whole", "byte_decode_whole"):
+        mine = q.QUERIES[name](spark, str(tmp_path))
+        columns = sorted(mine.columns)
+        other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
+        assert sorted(map(repr, map(tuple, mine.select(*columns).collect()))) == sorted(map(repr, other)), name
