@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ["theorem", "attempt_key"]
@@ -52,6 +52,13 @@ def document(results: DataFrame, model: str, value: str, pretty: bool = True) ->
     return inner.select(F.to_json(F.create_map(F.lit(model), "d"), {"pretty": str(pretty).lower()}).alias("document"))
 
 
+def documents(results: DataFrame, model: str, value: str, part: Column) -> DataFrame:
+    """The JSON documents {model: {theorem: {attempt: text}}}, one for each theorem and part of its results."""
+    entries = F.array_sort(F.collect_list(F.struct("attempt_key", value)))
+    attempts = results.groupBy("theorem", part.alias("_part")).agg(F.map_from_entries(entries).alias("attempts"))
+    return attempts.select(F.to_json(F.create_map(F.lit(model), F.create_map("theorem", "attempts"))).alias("document"))
+
+
 def unnest(documents: DataFrame, model: str, column: str = "document", leaves: str = "drop") -> DataFrame:
     """theorem, attempt_key and value of the texts under a model.
 

@@ -52,8 +52,10 @@ FROM {d.table(sf_dir, "benchmark")}""",
  END AS raw
 FROM bare""",
         "done": f"SELECT DISTINCT concat('item_', CAST(doc_id % {THEOREMS} AS STRING)) AS name FROM {d.table(sf_dir, 'labels')} WHERE doc_id < 60",
+        # theorems of which a larger share of the labels is good than of all labels
         "whole_done": f"""SELECT concat('item_', CAST(doc_id % (SELECT count(*) FROM {d.table(sf_dir, "benchmark")}) AS STRING)) AS name
- FROM {d.table(sf_dir, "labels")} GROUP BY 1 HAVING 2 * count(CASE WHEN quality = 1 THEN 1 END) > count(*)""",
+ FROM {d.table(sf_dir, "labels")} GROUP BY 1
+ HAVING count(CASE WHEN quality = 1 THEN 1 END) * (SELECT count(*) FROM {d.table(sf_dir, "labels")}) > count(*) * (SELECT count(*) FROM {d.table(sf_dir, "labels")} WHERE quality = 1)""",
         "checkpoint": "SELECT m.name AS model, d.name AS name FROM models m JOIN done d ON (length(d.name) + m.ord) % 2 = 0 AND m.ord < 5",
     }
     views["whole_attempts"] = views["attempts"].removesuffix("FROM bare") + "FROM whole_bare"

@@ -25,6 +25,10 @@ ORACLE: dict[str, str] = {}
 ATTEMPTS_OF = {"": "attempts", "_whole": "whole_attempts"}
 
 
+#: Attempts in one document of a theorem in unnest_whole.
+BLOCK = 100
+
+
 def both(name: str, render: Callable[[Dialect, str], str]) -> None:
     """A query that each dialect renders."""
     QUERIES[name] = lambda spark, sf_dir: spark.sql(render(SPARK, sf_dir))
@@ -165,6 +169,7 @@ frame(
 )
 both("filter_split", lambda d, sf: f"{ctes(d, sf, 'theorems')} SELECT {_T} FROM theorems WHERE split = 'valid'")
 frame("pending", lambda s, d: results.pending(view(s, d, "theorems"), view(s, d, "done")).select(*_T.split(", ")), f"{ctes(DUCK, '', 'theorems', 'done')} SELECT {_T} FROM theorems WHERE name NOT IN (SELECT name FROM done)")
+frame("pending_whole", lambda s, d: results.pending(view(s, d, "theorems"), view(s, d, "whole_done")).select(*_T.split(", ")), f"{ctes(DUCK, '', 'theorems', 'whole_done')} SELECT {_T} FROM theorems WHERE name NOT IN (SELECT name FROM whole_done)")
 frame(
     "upsert",
     lambda s, d: results.upsert(view(s, d, "attempts").where("attempt_index < 12").select("theorem", "attempt_key", "raw"), view(s, d, "attempts").where("attempt_index BETWEEN 8 AND 15").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw"))),
@@ -176,6 +181,14 @@ for _suffix, _attempts in ATTEMPTS_OF.items():
         lambda s, d, a=_attempts: results.merge_outer(view(s, d, a).where("attempt_index < 12"), view(s, d, a).where("attempt_index > 6").select("theorem", "attempt_key", F.md5("raw").alias("lean"))),
         f"{ctes(DUCK, '', _attempts)} SELECT theorem, attempt_key, CASE WHEN attempt_index < 12 THEN raw ELSE '' END AS raw, CASE WHEN attempt_index > 6 THEN md5(raw) ELSE '' END AS lean FROM {_attempts}",
     )
+frame(
+    "upsert_whole",
+    lambda s, d: results.upsert(
+        view(s, d, "whole_attempts").where("attempt_index % 3 <> 0").select("theorem", "attempt_key", "raw"),
+        view(s, d, "whole_attempts").where("attempt_index % 3 <> 1").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw")),
+    ),
+    f"{ctes(DUCK, '', 'whole_attempts')} SELECT theorem, attempt_key, raw || CASE WHEN attempt_index % 3 <> 1 THEN ' new' ELSE '' END AS raw FROM whole_attempts",
+)
 frame(
     "key_union",
     lambda s, d: view(s, d, "theorems").select("name").union(view(s, d, "attempts").select("theorem")).distinct(),
@@ -196,9 +209,15 @@ frame(
     lambda s, d: results.done_counts(registry.models(s), view(s, d, "checkpoint")),
     f"{ctes(DUCK, '', 'checkpoint')} SELECT m.name, m.ord, count(c.name) AS total_done FROM models m LEFT JOIN checkpoint c ON c.model = m.name GROUP BY m.name, m.ord",
 )
+frame(
+    "status_whole",
+    lambda s, d: results.done_counts(registry.models(s), view(s, d, "whole_checkpoint")),
+    f"{ctes(DUCK, '', 'whole_checkpoint')} SELECT m.name, m.ord, count(c.name) AS total_done FROM models m LEFT JOIN whole_checkpoint c ON c.model = m.name GROUP BY m.name, m.ord",
+)
 both("theorem_counts", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT CASE WHEN attempt_index % 2 = 0 THEN 'a' ELSE 'b' END AS model, count(DISTINCT theorem) AS theorems FROM attempts GROUP BY 1")
 both("skip_n", lambda d, sf: f"{ctes(d, sf, 'theorems')}, o AS (SELECT name, row_number() OVER (ORDER BY item_id) AS place FROM theorems) SELECT name FROM o WHERE place > 7")
 both("sorted_names", lambda d, sf: f"{ctes(d, sf, 'done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM done")
+both("sorted_names_whole", lambda d, sf: f"{ctes(d, sf, 'whole_done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM whole_done")
 both("file_stem", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, {results.file_stem(d.concat(d.lit('org/'), 'name', d.lit(' v 1')))} AS stem FROM models")
 for _suffix, _attempts in ATTEMPTS_OF.items():
     both("output_sizes" + _suffix, lambda d, sf, a=_attempts: f"{ctes(d, sf, a)} SELECT theorem, CAST(sum({d.octets('raw')}) AS BIGINT) AS bytes, round(CAST(CAST(sum({d.octets('raw')}) AS BIGINT) AS DOUBLE) / 1e6, 1) AS mb FROM {a} GROUP BY theorem")
@@ -215,3 +234,8 @@ frame(
     lambda s, d: results.unnest(results.document(view(s, d, "attempts").where("attempt_index < 9"), "m", "raw"), "m"),
     f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw AS value FROM attempts WHERE attempt_index < 9",
 )
+frame(
+    "unnest_whole",
+    lambda s, d: results.unnest(results.documents(view(s, d, "whole_attempts"), "m", "raw", F.floor(F.col("attempt_index") / BLOCK)), "m"),
+    f"{ctes(DUCK, '', 'whole_attempts')} SELECT theorem, attempt_key, raw AS value FROM whole_attempts",
+)

@@ -191,3 +191,31 @@ def test_whole_texts(spark, tmp_path):
         columns = sorted(mine.columns)
         other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
         assert sorted(map(repr, map(tuple, mine.select(*columns).collect()))) == sorted(map(repr, other)), name
+
+
+def test_whole_ids(spark):
+    """upsert and unnest cover all attempts, and the done-set all labels, with theorems left over."""
+    import os
+
+    import duckdb
+
+    from lodestone.plans import queries as q
+
+    where = "/root/testdata/sf0.01"
+    if not os.path.isdir(where):
+        pytest.skip("no tables here")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{where}/{t}.parquet'")
+    n = spark.read.parquet(f"{where}/documents.parquet").count()
+    names = spark.read.parquet(f"{where}/benchmark.parquet").count()
+    found = {}
+    for name in ("upsert_whole", "unnest_whole", "pending_whole", "status_whole", "sorted_names_whole"):
+        mine = q.QUERIES[name](spark, where)
+        columns = sorted(mine.columns)
+        found[name] = sorted(map(repr, map(tuple, mine.select(*columns).collect())))
+        other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
+        assert found[name] == sorted(map(repr, other)), name
+    assert len(found["upsert_whole"]) == len(found["unnest_whole"]) == n
+    done = len(found["sorted_names_whole"])
+    assert 0 < done < names and len(found["pending_whole"]) == names - done
