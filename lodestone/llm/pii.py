@@ -42,7 +42,7 @@ PATTERNS = {
 LOOSE = {
     "email": r"(?<![A-Za-z0-9])[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63} ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z]{2,10}",
     "phone": r"(?<![0-9+(.)-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
-    "secret": r"(?<=(?:token|secret|password|passwd|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[^\s\"']{8,200}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}",
+    "secret": r"(?<=(?:token|secret|password|passwd|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[^\s\"']{8,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}",
 }
 #: What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}

@@ -276,6 +276,15 @@ def test_pii(spark):
     assert pii.detect(d.limit(0)).isEmpty()
 
 
+def test_pii_long_secret(spark):
+    """A secret's span has all of a long token."""
+    token = "".join(random.Random(3).choice("abcdefXYZ0123456789._-") for _ in range(900))
+    text = f"key: api_key = '{token}' and secret: {token[:8]}"
+    df = spark.createDataFrame([(text,)], "text string")
+    got = df.select(pii.located(F.col("text"), pii.LOOSE["secret"]).alias("x")).first()["x"]
+    assert [(m["start"], m["value"]) for m in got] == [(text.index(token), token), (len(text) - 8, token[:8])]
+
+
 def test_em():
     patterns = [(0, "+++0++", True, 50), (0, "-+++++", False, 20), (0, "-----+", False, 100)]
     truth = pii.reliabilities(patterns)
