@@ -1,7 +1,8 @@
 """Line dedup: an exact set-similarity join of lines, in DataFrame functions only.
 
 A line is the set of its distinct words (runs between spaces; 64-bit hashes).
-Lines are in the order (doc_id, line number); a line goes when an earlier one has
+Lines are in the order (doc_id, row, line number), where row is a 64-bit hash of
+the text, which tells rows that share an id apart; a line goes when an earlier one has
 a Jaccard similarity of THRESHOLD or more with it, whether that one stays or
 not. Lines without words always stay.
 
@@ -18,9 +19,9 @@ not. Lines without words always stay.
    this decides go, and only the undecided ones are joined with all earlier
    entries. Pairs are verified on the whole sets.
 
-Null text stays null, and an empty one empty. Rows with the same doc_id share
-their lines' positions, so their lines never remove each other. Null ids come
-first.
+Null text stays null, and an empty one empty. Rows with the same doc_id and text
+share their lines' positions, so their lines never remove each other. Null ids
+come first.
 """
 
 from __future__ import annotations
@@ -38,6 +39,11 @@ THRESHOLD = 80
 COUNTERS = 1 << 16
 
 
+def row_of(text: Column) -> Column:
+    """Together with doc_id the key of a row."""
+    return F.xxhash64(text)
+
+
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -93,16 +99,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
-    """doc_id and gone, the array of line numbers to remove."""
-    docs = docs.select("doc_id", "text").where("text is not null")
+    """doc_id, row and gone, the array of line numbers to remove."""
+    docs = docs.select("doc_id", row_of(F.col("text")).alias("row"), "text").where("text is not null")
     rank = ranks(docs)
-    lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "value"))
-    lines = lines.select("doc_id", "line", words_of(F.col("value"), rank).alias("k"))
+    lines = docs.select("doc_id", "row", F.posexplode(lines_of(F.col("text"))).alias("line", "value"))
+    lines = lines.select("doc_id", "row", "line", words_of(F.col("value"), rank).alias("k"))
     n = F.size("k")
     least = n - F.ceil(F.lit(percent) * n / F.lit(100)).cast("int") + 1
-    lines = lines.where(n > 0).select("doc_id", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
+    lines = lines.where(n > 0).select("doc_id", "row", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
     lines = written(lines, "lines")
-    at = F.struct("doc_id", "line")
+    at = F.struct("doc_id", "row", "line")
     classes = lines.groupBy("key").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
     entries = classes.select("key", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
     x, y = entries.alias("x"), entries.alias("y")
@@ -113,9 +119,10 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     near = written(near.join(first_of, "key"), "near")
     release(docs.sparkSession)
 
-    need = near.select("key", "at.doc_id", "at.line").distinct()
-    wanted = need.groupBy("doc_id").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))  # at most the lines of a document
-    sets = docs.join(wanted, "doc_id").select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
+    need = near.select("key", "at.doc_id", "at.row", "at.line").distinct()
+    wanted = need.groupBy("doc_id", "row").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))  # at most the lines of a document
+    same_row = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.row") == F.col("w.row"))
+    sets = docs.alias("d").join(wanted.alias("w"), same_row).select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
     sets = written(sets.select(F.explode("s").alias("s")).select("s.key", "s.h").dropDuplicates(["key"]), "words")
     release(docs.sparkSession)
 
@@ -131,15 +138,15 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     release(docs.sparkSession)
     # every line but the first of each set, and the first of those similar to an earlier one
     firsts = first_of.join(similar.withColumn("similar", F.lit(True)), "key", "left")
-    gone = lines.select("doc_id", "line", "key").join(firsts, "key").where((at != F.col("at")) | F.col("similar"))
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
+    gone = lines.select("doc_id", "row", "line", "key").join(firsts, "key").where((at != F.col("at")) | F.col("similar"))
+    return gone.groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"))
 
 
 def dedup(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     """docs with their text without removed lines, n_lines and n_removed (which replace columns of these names)."""
-    gone = removed_lines(docs, percent).withColumnRenamed("gone", "_gone_lines")
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_gone_lines")]
-    out = docs.select(own).join(gone, "doc_id", "left")
+    gone = removed_lines(docs, percent).toDF("_gone_id", "_gone_row", "_gone_lines")
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_gone_id", "_gone_row", "_gone_lines")]
+    out = docs.select(own).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (row_of(F.col("text")) == F.col("_gone_row")), "left")
     gone = F.coalesce("_gone_lines", F.array().cast("array<int>"))
     parts = F.transform(lines_of(F.col("text")), lambda v, k: F.when(~F.array_contains(gone, k), v))
     kept = F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(F.array_compact(parts), "\n"))

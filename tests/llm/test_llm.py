@@ -81,6 +81,17 @@ def test_line_dedup_removed_line_still_removes(spark):
     assert got == [(0, 0), (1, 1), (2, 1)]
 
 
+def test_line_dedup_row_keys(spark):
+    """Rows that share an id but not the text keep their own lines; null ids lose and remove lines, too."""
+    w = [" ".join(f"{c}{k}" for k in range(10)) for c in "abcdefg"]
+    texts = [(None, w[0] + "\nn"), (None, f"{w[1]}\n{w[0]} x"), (3, f"{w[2]}\n{w[3]}"), (5, f"{w[2]} y\n{w[4]}"), (5, f"{w[5]}\n{w[4]} z\nq"), (7, f"{w[6]}\n{w[1]} v\n{w[5]} u")]
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    in_order = [(r["doc_id"], r["text"]) for r in d.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    got = rows(line_dedup.digest(line_dedup.dedup(d)))
+    want = [(i, n, g, sha(t)) for i, n, g, t in lines(in_order)]
+    assert sum(x[2] for x in want) == 5 and got == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("n, percent", [(4, 85), (1, 50)])
 def test_ngram_join(spark, docs, n, percent):
     want = components(pairs_of(docs), n, percent)
