@@ -7,8 +7,9 @@ are made where the texts are read, so nothing is shuffled and no term, however
 frequent, meets in one task. ``phrases`` answers exact phrases on each block:
 the postings of the rarest term of a phrase, less the term's offset, are the
 candidates; they are intersected with the offset-adjusted postings of the other
-terms, from rare to frequent. ``proximity`` finds terms close to each other in
-the same way.
+terms, from rare to frequent. ``decontaminate`` returns these exact phrases only:
+``Block.proximity`` finds terms close to each other in one block in the same way,
+but is not built as an operator.
 
 Words: A-Z in lower case, runs of letters, digits and non-ASCII characters. The
 benchmark's windows are the stated query set: they are sent to the blocks in
