@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import gc
 import shutil
 import tempfile
 import time
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -39,31 +41,88 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    Only where it is unset (tests on one machine) a temporary folder is made.
+    Only where it is unset and all runs in one process (tests) a temporary folder is made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        atexit.register(shutil.rmtree, base.removeprefix("file://"), ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: Removes a query's shuffle files when it has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def cleaned(spark: SparkSession):
+    """While this holds, the shuffle files of a query go when it ends."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def _path(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as a table in the shared folder and read it back.
 
-    A lost executor then costs no recomputation of what came before. The files
-    go when the driver's JVM ends.
+    A lost executor then costs no recomputation of what came before, and the
+    shuffle files behind the table go. The table itself goes when dropped() names
+    it, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    with cleaned(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    fs, hpath = _path(spark, path)
+    fs.deleteOnExit(hpath)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        fs, hpath = _path(t.sparkSession, t._written)
+        fs.delete(hpath, True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def trim() -> None:
+    """Give freed memory back to the system, so that a worker that is used again begins small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """run, a function of a partition's batches, after which the worker's freed memory is given back."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about max_bytes of one text column (one row at least)."""
     for batch in batches:
         n = batch.num_rows
@@ -97,16 +156,27 @@ _rng = np.random.Generator(np.random.PCG64(0x5EED))
 BYTE64 = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15
 _Q = pow(_P, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: So many powers are kept for the next call, 8 MB each; more are made when asked for.
+_KEPT = (1 << 20) + 1
+_powers: list[np.ndarray] = []
+
+
+def _accumulated(n: int) -> list[np.ndarray]:
+    out = []
+    for base in (_P, _Q):
+        x = np.full(n, base, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P**i and P**-i modulo 2**64 for i < n."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_P, _Q)):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _powers[k] = np.multiply.accumulate(x)
+    if n > _KEPT:
+        p, q = _accumulated(n)
+        return p, q
+    if not _powers:
+        _powers.extend(_accumulated(_KEPT))
     return _powers[0][:n], _powers[1][:n]
 
 
