@@ -1,22 +1,38 @@
 """Byte-level BPE encoding and decoding as a monoid tree reduction.
 
-A text is cut into halves down to leaves; a leaf is encoded on its own, and two
-neighbours are joined by re-encoding a window around their boundary. The window
-grows on each side until it meets a position where white space follows a
-character that is none: no alternative of the pattern runs across such a
-position and none looks ahead past it, so a scan of any text that holds it has a
-piece boundary there, and the tokens outside the window are those of the whole
-text. The join is associative, so any tree gives the same tokens. Decoding
-concatenates the halves' bytes up the same kind of tree.
-
-Null text counts as empty and has no tokens. Other columns stay as they are,
-but for those with the names of the output columns, which are replaced.
+A text is halved down to leaves of LEAF characters. A leaf is scanned into the
+pattern's pieces and each piece is encoded; two neighbours are joined by scanning
+and encoding a window around their boundary anew, which grows until everything
+outside is provably that of the joined text:
+
+* Pieces. A piece that ends before the boundary and begins more than REACH
+  characters before it cannot change, as no alternative of the pattern decides by
+  more than REACH characters ahead or looks back. The window begins behind the last
+  such piece, and grows piece by piece until one ends where a piece of the right
+  half ends: from a common end on two scans of one text are the same.
+* Tokens. Where the boundary cuts a long piece, its two parts were encoded
+  already. A window of some tokens on each side is encoded anew and grows until
+  its first and last token are again those it began and ended with. A sequence of
+  tokens is the encoding of its bytes exactly if each two neighbours are that of
+  theirs: a merge across a border, the first one there, involves the two tokens at
+  that border alone. Those pairs all stand in the left, the window's or the right
+  encoding, so the whole is the encoding.
+
+The join is associative, so any tree gives the same tokens, and a piece of any
+length costs a scan and a small window in each join. Decoding concatenates the
+halves' bytes up the same kind of tree.
+
+Null text counts as empty and has no tokens; an empty table gives an empty one;
+repeated rows are encoded each for itself, and no ids are looked at. Very long
+texts only deepen the tree. Other columns stay as they are, but for those with
+the names of the output columns, which are replaced.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +40,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices
+from .common import ship, slices, tidy
 
-#: Characters in a leaf.
-LEAF = 8192
-#: Pieces whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 600_000
+#: Characters in a leaf of the text's tree, and bytes in one of a piece's.
+LEAF = 512
+#: Characters ahead by which the pattern decides (the longest alternative of fixed text has as many).
+REACH = 3
+#: Bytes of remembered pieces, about; then a partition's memory of them starts anew. Longer pieces are not remembered.
+REMEMBERED, SHORT = 16 << 20, 64
+#: Bytes that an entry takes beside its text, about.
+_ENTRY = 200
 #: The public pattern's pieces, for texts of Latin-1 characters alone, with its classes spelled out.
 LATIN = {
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""": re.compile(
@@ -49,86 +69,106 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Pieces(dict):
     """The tokens of a piece, as the bytes of 32-bit numbers."""
 
-    def __init__(self, coder):
+    def __init__(self, encode):
         super().__init__()
-        self.coder = coder
+        self.encode, self.held = encode, 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = np.array(self.coder.encode_ordinary(piece), np.int32).tobytes()
-        if len(piece) < 64:
+        found = array("i", self.encode(piece.encode())).tobytes()
+        if len(piece) < SHORT:
+            self.held += _ENTRY + len(piece)
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
             self[piece] = found
         return found
 
 
 class TreeBpe:
+    """Encodes and decodes texts; pattern: of pieces whose alternatives look no more than REACH characters ahead."""
+
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
+        import regex
         import tiktoken
 
         self.leaf = max(2, leaf)
-        self.coder = tiktoken.Encoding("tree", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.latin, self.pieces = LATIN.get(pattern), Pieces(self.coder)
-        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
-        self.bytes = [b""] * len(self.size)
+        self.base = tiktoken.Encoding("tree", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        # White space is Unicode's property, without the separators U+001C to U+001F
+        self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.latin = LATIN.get(pattern)
+        self.pieces = Pieces(self.bytes_encoded)
+        self.bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.size[rank], self.bytes[rank] = len(token), token
+            self.bytes[rank] = token
 
     def encode(self, text: str) -> np.ndarray:
-        return self._encode(text, 0, len(text))
-
-    def _encode(self, text: str, lo: int, hi: int) -> np.ndarray:
-        if hi - lo <= self.leaf:
-            return self.run(text[lo:hi])
-        mid = (lo + hi) // 2
-        return self.join(text, lo, mid, hi, self._encode(text, lo, mid), self._encode(text, mid, hi))
-
-    def run(self, text: str) -> np.ndarray:
-        """The tokens of a leaf or window."""
-        if self.latin:
+        scan = self.pattern
+        if self.latin is not None:
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
                 pass
             else:
-                return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.latin.findall(text))), np.int32)
-        return np.array(self.coder.encode_ordinary(text), np.int32)
-
-    @staticmethod
-    def _stable(text: str, i: int) -> bool:
-        """White space at i after a character that is none (and no control character)."""
-        return text[i] in " \n" and text[i - 1] > " " and not text[i - 1].isspace()
-
-    def join(self, text: str, lo: int, mid: int, hi: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The tokens of text[lo:hi] from those of its two parts."""
-        a = mid
-        while a > lo and not self._stable(text, a):
-            a -= 1
-        if a == mid:
-            return np.concatenate([left, right])
-        b = mid + 1
-        while b < hi and not self._stable(text, b):
-            b += 1
-        keep = self._covering(left[::-1], len(text[a:mid].encode()))
-        skip = self._covering(right, len(text[mid:b].encode()))
-        window = self.run(text[a:b])
-        return np.concatenate([left[: len(left) - keep], window, right[skip:]])
-
-    def _covering(self, tokens: np.ndarray, n_bytes: int) -> int:
-        """How many leading tokens make up n_bytes exactly; looks at as many as needed."""
-        if not n_bytes:
-            return 0
-        step = 64
+                scan = self.latin
+        return np.frombuffer(b"".join(self._encode(scan, text, 0, len(text))[1]), np.int32)
+
+    def _encode(self, scan, text: str, lo: int, hi: int) -> tuple[list[str], list[bytes]]:
+        """The pieces of text[lo:hi] and the tokens of each."""
+        if hi - lo <= self.leaf:
+            found = scan.findall(text, lo, hi)
+            return found, list(map(self.pieces.__getitem__, found))
+        mid = (lo + hi) // 2
+        return self.join(scan, text, mid, hi, self._encode(scan, text, lo, mid), self._encode(scan, text, mid, hi))
+
+    def join(self, scan, text: str, mid: int, hi: int, left: tuple, right: tuple) -> tuple[list[str], list[bytes]]:
+        """The pieces and tokens up to hi from those before and behind mid."""
+        pieces, tokens = left
+        after, after_tokens = right
+        keep, at = len(pieces) - 1, mid - len(pieces[-1])
+        while keep and at > mid - REACH:
+            keep -= 1
+            at -= len(pieces[keep])
+        last = at if keep == len(pieces) - 1 else mid - len(pieces[-1])
+        new, new_tokens = [], []
+        skip, end = 0, mid  # of the right half's pieces
+        while at < mid or at != end:
+            to = scan.match(text, at, hi).end()
+            while end < to:
+                end += len(after[skip])
+                skip += 1
+            piece = text[at:to]
+            if len(piece) < SHORT:
+                found = self.pieces[piece]
+            elif at == last and to == mid + len(after[0]):
+                found = self.merged(tokens[-1], after_tokens[0])
+            elif at == last and to == mid:
+                found = tokens[-1]
+            else:
+                found = array("i", self.bytes_encoded(piece.encode())).tobytes()
+            new.append(piece)
+            new_tokens.append(found)
+            at = to
+        return pieces[:keep] + new + after[skip:], tokens[:keep] + new_tokens + after_tokens[skip:]
+
+    def bytes_encoded(self, piece: bytes) -> list[int]:
+        """The tokens of a piece, by halves of its bytes."""
+        if len(piece) <= self.leaf:
+            return self.base(piece)
+        mid = len(piece) // 2
+        return self._merged(self.bytes_encoded(piece[:mid]), self.bytes_encoded(piece[mid:]))
+
+    def merged(self, left: bytes, right: bytes) -> bytes:
+        """The tokens of a piece from those of its two parts."""
+        return array("i", self._merged(array("i", left).tolist(), array("i", right).tolist())).tobytes()
+
+    def _merged(self, left: list[int], right: list[int]) -> list[int]:
+        k = 2
         while True:
-            ends = np.cumsum(self.size[tokens[:step]])
-            k = int(np.searchsorted(ends, n_bytes))
-            if k < len(ends):
-                if ends[k] != n_bytes:
-                    raise AssertionError("a token runs across a stable position")
-                return k + 1
-            if step >= len(tokens):
-                raise AssertionError("the tokens do not cover the window")
-            step *= 4
+            a, b = max(0, len(left) - k), min(len(right), k)
+            window = self.base(b"".join([self.bytes[t] for t in left[a:] + right[:b]]))
+            if (not a or window[0] == left[a]) and (b == len(right) or window[-1] == right[b - 1]):
+                return left[:a] + window + right[b:]
+            k *= 2
 
     def decode(self, tokens: np.ndarray) -> bytes:
         if len(tokens) <= self.leaf:
@@ -138,21 +178,10 @@ class TreeBpe:
         return self.decode(tokens[:mid]) + self.decode(tokens[mid:])
 
 
-_coders: dict[tuple, TreeBpe] = {}
-
-
-def _coder(shared, pattern: str, leaf: int) -> TreeBpe:
-    """One coder for each Python worker."""
-    key = (shared.value["name"], pattern, leaf)
-    if key not in _coders:
-        _coders[key] = TreeBpe(shared.value["ranks"], pattern, leaf)
-    return _coders[key]
-
-
 def _ranks(df: DataFrame, path: str):
     """The vocabulary (its size is that of a public file, fixed) is sent to each executor once."""
     ship(df.sparkSession)
-    return df.sparkSession.sparkContext.broadcast({"name": path, "ranks": load_ranks(path)})
+    return df.sparkSession.sparkContext.broadcast(load_ranks(path))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", leaf: int = LEAF) -> DataFrame:
@@ -162,15 +191,14 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", tokens: s
     schema = T.StructType([*df.schema.fields, T.StructField(tokens, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches):
-        coder = _coder(shared, pattern, leaf)
-        for b in slices(batches, text):
+        coder = TreeBpe(shared.value, pattern, leaf)
+        for b in slices(batches, text, 1 << 20):
             ids = [coder.encode(t or "") for t in b.column(text).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, tokens])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, path: str, pattern: str, tokens: str = "tokens", decoded: str = "decoded", leaf: int = LEAF) -> DataFrame:
@@ -180,7 +208,7 @@ def decode(df: DataFrame, path: str, pattern: str, tokens: str = "tokens", decod
     schema = T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType(), False)])
 
     def run(batches):
-        coder = _coder(shared, pattern, leaf)
+        coder = TreeBpe(shared.value, pattern, leaf)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
@@ -188,7 +216,7 @@ def decode(df: DataFrame, path: str, pattern: str, tokens: str = "tokens", decod
                 ids = [np.asarray(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else np.zeros(0, np.int64) for x in col]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array([coder.decode(x) for x in ids], pa.binary())], [*b.schema.names, decoded])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def digest(df: DataFrame) -> DataFrame:
