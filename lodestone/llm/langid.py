@@ -1,17 +1,25 @@
 """Language identification by cross-parsing with suffix automata.
 
-For each language the operator takes a bounded sample of labelled text and
+For each language the operator takes a bounded sample of labelled texts and
 builds its suffix automaton. A text is cross-parsed by each automaton: the
 longest match with the sample is one phrase, and the next one starts behind it.
 The cost of a language is phrases * log2(sample length), the bits that pointers
 into its sample would take; the language of least cost wins (ties: the first by
-name). The parse is a walk in a complete transition table, so many pieces of
-texts advance together in numpy. Letters are lower-cased, each run of other
-characters is one space, and texts are parsed whole, in pieces of PIECE
-characters of which each starts a phrase (all languages alike).
+name). Letters are lower-cased, each run of other characters is one space, and
+a text is parsed whole, from its first phrase to its last.
+
+The parse is a walk in a complete transition table. So that many walks advance
+together in numpy, a text is cut into stretches of STRETCH characters, and each
+is walked as if a phrase began there. Then the phrase that truly runs across
+its beginning is walked on from the stretch before, until a phrase begins where
+the first walk also began one: from there on both are the same. A stretch that
+comes to no such place hands its state on to the next, so the phrases are those
+of a single walk through the whole text.
 
 Null text, or text without a letter: `und` with score 0. Rows whose language is
-null are never learnt from. Without any labelled text all rows are `und`.
+null are never learnt from. Without any labelled text all rows are `und`, and an
+empty table gives an empty one. Repeated rows are predicted each for itself.
+Columns with the names of the output columns are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -24,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices
+from .common import ship, slices, tidy
 
-#: The sample: at most so many texts and characters of a language.
-SAMPLE_ROWS = 400
-SAMPLE_CHARS = 40_000
-PIECE = 512
+#: The sample: at most so many whole texts of a language, of at most so many characters (of a language without such texts: its shortest one).
+SAMPLE_ROWS = 16
+SAMPLE_LONGEST = 4_000
+#: Characters in a stretch of a text.
+STRETCH = 256
 UNKNOWN = "und"
 
 
@@ -124,35 +133,59 @@ class CrossParser:
         codes, ends = normal(texts)
         n = len(texts)
         size = np.diff(ends)
-        has = np.zeros(n, bool)
-        owner = np.repeat(np.arange(n), size)
-        has[owner[codes != 32]] = True
+        letters_before = np.concatenate([[0], np.cumsum(codes != 32)])
+        has = letters_before[ends[1:]] > letters_before[ends[:-1]]
         counts = np.zeros((n, len(self.langs)), np.int64)
-        pieces = -(-size // PIECE)
-        doc = np.repeat(np.arange(n), pieces)
+        many = -(-size // STRETCH)
+        doc = np.repeat(np.arange(n), many)
         if not len(doc):
             return counts, has
-        first = np.cumsum(pieces) - pieces
-        nth = np.arange(len(doc)) - first[doc]
-        start = ends[doc] + nth * PIECE
-        left = np.minimum(PIECE, ends[doc + 1] - start)
-        order = np.argsort(-left, kind="stable")
-        doc, start, left = doc[order], start[order], left[order]
-        steps = int(left[0])
-        active = np.searchsorted(-left, -np.arange(steps), "left")  # pieces longer than t come first
+        start = ends[doc] + (np.arange(len(doc)) - (np.cumsum(many) - many)[doc]) * STRETCH
+        stop = np.minimum(start + STRETCH, ends[doc + 1])
+        inner = np.flatnonzero(doc[1:] == doc[:-1]) + 1  # stretches that have one before
         symbols = self.codes[codes]
-        shift = self.width.bit_length() - 1
         for k, table in enumerate(self.tables):
-            state = np.full(len(doc), (len(table) >> shift) - 1, np.int64)
-            begun = np.zeros(len(doc), np.int64)
-            for t in range(steps):
-                m = active[t]
-                e = table[(state[:m] << shift) | symbols[start[:m] + t]]
-                state[:m] = e >> 1
-                begun[:m] += e & 1
-            counts[:, k] = np.bincount(doc, begun, n).astype(np.int64)
+            counts[:, k] = self._parse(table, symbols, start, stop, inner, doc, n)
         return counts, has
 
+    def _parse(self, table, symbols, start, stop, inner, doc, n) -> np.ndarray:
+        shift = self.width.bit_length() - 1
+        begun = np.zeros(len(symbols), bool)  # where a phrase begins
+        state = np.full(len(start), (len(table) >> shift) - 1, np.int64)
+        size = stop - start
+        order = np.argsort(-size, kind="stable")
+        active = np.searchsorted(-size[order], -np.arange(int(size.max())), "left")  # longer than t come first
+        at, own = start[order], state[order]
+        for t, m in enumerate(active.tolist()):
+            e = table[(own[:m] << shift) | symbols[at[:m] + t]]
+            own[:m] = e >> 1
+            begun[at[:m] + t] = e & 1
+        state[order] = own
+        # walk on across the beginnings; a stretch whose last state changes so is walked on from again
+        todo = inner
+        while len(todo):
+            s, pos, end, of = state[todo - 1], start[todo].copy(), stop[todo], todo
+            ended, final = [], []
+            while len(of):
+                e = table[(s << shift) | symbols[pos]]
+                s, new = e.astype(np.int64) >> 1, (e & 1).astype(bool)
+                meets = new & begun[pos]
+                begun[pos] = new
+                pos = pos + 1
+                out = (pos == end) & ~meets
+                ended.append(of[out])
+                final.append(s[out])
+                go = ~(meets | out)
+                s, pos, end, of = s[go], pos[go], end[go], of[go]
+            ended, final = np.concatenate(ended), np.concatenate(final)
+            changed = state[ended] != final
+            state[ended] = final
+            after = ended[changed] + 1
+            after = after[after < len(start)]
+            todo = np.sort(after[doc[after] == doc[after - 1]])
+        before = np.concatenate([[0], np.cumsum(begun)])
+        return np.bincount(doc, before[stop] - before[start], n).astype(np.int64)
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         counts, has = self.phrases(texts)
         if not self.langs:
@@ -163,28 +196,30 @@ class CrossParser:
         return [self.langs[b] if h else UNKNOWN for b, h in zip(best, has)], np.where(has, share, 0.0)
 
 
-def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """A sample of each language: the texts with the least hashes of their ids, up to the two bounds.
+def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_LONGEST) -> dict[str, str]:
+    """A sample of each language: the whole texts with the least hashes of ids and texts, within the two bounds.
 
-    Counts are taken over all rows; then a hash threshold for each language
-    leaves a few times as many rows as wanted, so no language is sorted whole.
+    Rows are counted for each language; then a hash threshold leaves a few times
+    as many as wanted, so no language is sorted whole. There are as many samples
+    as distinct values of lang, a set of names.
     """
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * rows + 50) / n))])
+    size = F.length("text")
     at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = labelled.where(at <= share[F.col("lang")]).select("lang", "doc_id", F.substring("text", 1, chars).alias("text"), at.alias("at"))
-    least = few.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("at", "doc_id", "text"))), 1, rows).alias("rows"))
-    out = {}
-    for r in least.select("lang", F.substring(F.array_join(F.col("rows.text"), " "), 1, chars).alias("sample")).collect():
-        out[r["lang"]] = r["sample"]
+    fitting = labelled.select("lang", "doc_id", "text", at.alias("at")).where(size <= longest)
+    all_langs = labelled.groupBy("lang").agg(F.count_if(size <= longest).alias("n")).collect()
+    out: dict[str, str] = {}
+    share = {r["lang"]: min(1.0, (2 * rows + 50) / r["n"]) for r in all_langs if r["n"]}
+    if share:
+        few = fitting.where(F.col("at") <= F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")])
+        least = few.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("at", "doc_id", "text"))), 1, rows)["text"].alias("texts"))
+        out |= {r["lang"]: " ".join(r["texts"]) for r in least.collect()}
+    rest = [r["lang"] for r in all_langs if r["lang"] not in out]
+    if rest:
+        shortest = labelled.where(F.col("lang").isin(rest)).groupBy("lang").agg(F.min(F.struct(size.alias("size"), "text"))["text"].alias("text"))
+        out |= {r["lang"]: r["text"] for r in shortest.collect()}
     return out
 
 
-_parsers: dict[int, CrossParser] = {}
-
-
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """docs with the predicted language and its score (the winner's share of the inverse costs)."""
     ship(docs.sparkSession)
@@ -193,15 +228,12 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", lang:
     schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType(), False), T.StructField(score, T.DoubleType(), False)])
 
     def run(batches):
-        key = hash(tuple(sorted(shared.value.items())))
-        if key not in _parsers:
-            _parsers.clear()
-            _parsers[key] = CrossParser(shared.value)
-        for b in slices(batches, text, 8 << 20):
-            pred, p = _parsers[key].predict([t or "" for t in b.column(text).to_pylist()])
+        parser = CrossParser(shared.value)
+        for b in slices(batches, text, 2 << 20):
+            pred, p = parser.predict([t or "" for t in b.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(p)], [*b.schema.names, lang, score])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
