@@ -192,6 +192,12 @@ def strip_think(d: Dialect, x: str) -> str:
     return d.case((d.contains(x, o), d.substr(d.fold(rounds, d.concat("'0'", x), step), 2)), other=x)
 
 
+#: Tokens that strip_comments folds together: its work grows with a text's length times this, not with its square.
+BLOCK = 128
+#: Digits of a nesting depth; a text of 2 GB, the longest there is, cannot nest deeper.
+DEPTH = 10
+
+
 def strip_comments(d: Dialect, x: str, mode: str = "default") -> str:
     """Remove nested block comments. By default a lone `-` inside one leaves `--`, and a lone `/` itself."""
     tokens = d.extract_all(x, "[-/]|[^-/]+", 0)
@@ -199,22 +205,33 @@ def strip_comments(d: Dialect, x: str, mode: str = "default") -> str:
     def marked(ts: str) -> str:  # each token behind the first character of the next
         return d.map_at(ts, lambda t, i: d.concat(f"coalesce(substr({d.item(ts, f'({i} + 1)')}, 1, 1), ' ')", t))
 
-    def step(s: str, v: str) -> str:  # state: depth in 6 digits, skip flag, output
-        depth, skip, out = d.substr(s, 1, 6), d.substr(s, 7, 1), d.substr(s, 8)
+    def step(s: str, v: str) -> str:  # state: depth, skip flag, output
+        depth, skip, out = d.substr(s, 1, DEPTH), d.substr(s, DEPTH + 1, 1), d.substr(s, DEPTH + 2)
         nxt, tok = d.substr(v, 1, 1), d.substr(v, 2)
-        move = lambda by: f"lpad(cast(cast({depth} as int) {by} as {'string' if d.name == 'spark' else 'varchar'}), 6, '0')"
+        move = lambda by: f"lpad(cast(cast({depth} as bigint) {by} as {'string' if d.name == 'spark' else 'varchar'}), {DEPTH}, '0')"
         leak = (lambda t: d.concat(depth, "'0'", out)) if mode == "strict" else (lambda t: d.concat(depth, "'0'", out, d.lit(t)))
         return d.case(
             (f"{skip} = '1'", d.concat(depth, "'0'", out)),
             (f"{tok} = '/' AND {nxt} = '-'", d.concat(move("+ 1"), "'1'", out)),
-            (f"{depth} = '000000'", d.concat(depth, "'0'", out, tok)),
+            (f"{depth} = '{'0' * DEPTH}'", d.concat(depth, "'0'", out, tok)),
             (f"{tok} = '-' AND {nxt} = '/'", d.concat(move("- 1"), "'1'", out)),
             (f"{tok} = '-'", leak("--")),
             (f"{tok} = '/'", leak("/")),
             other=d.concat(depth, "'0'", out),
         )
 
-    clean = d.substr(d.fold(d.let(tokens, marked), "'0000000'", step), 8)
+    def fold(ts: str) -> str:  # blocks of tokens: the whole output is copied once for each block
+        starts = f"sequence(1, {d.size(ts)}, {BLOCK})" if d.name == "spark" else f"range(1, {d.size(ts)} + 1, {BLOCK})"
+        places = d.map(starts, lambda k: f"cast({k} as {'string' if d.name == 'spark' else 'varchar'})")
+
+        def block(s: str, k: str) -> str:
+            size = f"least({BLOCK}, {d.size(ts)} - cast({k} as int) + 1)"
+            own = d.fold(d.slice(ts, f"cast({k} as int)", size), d.substr(s, 1, DEPTH + 1), step)
+            return d.let(own, lambda o: d.concat(d.substr(o, 1, DEPTH + 1), d.substr(s, DEPTH + 2), d.substr(o, DEPTH + 2)))
+
+        return d.fold(places, f"'{'0' * (DEPTH + 1)}'", block)
+
+    clean = d.substr(d.let(d.let(tokens, marked), fold), DEPTH + 2)
     return d.case((d.contains(x, "/-"), clean), other=x)
 
 
@@ -290,31 +307,32 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-def _byte_map(d: Dialect, reverse: bool = False) -> str:
-    pairs = [(d.lit(c), f"'{b:02X}'") for c, b in byte_characters().items()]
-    if reverse:
-        pairs = [(h, c) for c, h in pairs]
-    if d.name == "spark":
-        return f"map({', '.join(x for p in pairs for x in p)})"
-    return f"map([{', '.join(p[0] for p in pairs)}], [{', '.join(p[1] for p in pairs)}])"
-
-
 def byte_decode(d: Dialect, x: str) -> str:
     """Characters that stand for bytes as those bytes, others as their own; malformed UTF-8 becomes U+FFFD."""
-    m = _byte_map(d)
+    rest = [b for c, b in sorted(byte_characters().items()) if ord(c) >= 0x100]
+
+    def hexed(c: str) -> str:
+        def of(k: str) -> str:
+            number = f"hex({k})" if d.name == "spark" else f"printf('%02X', {k})"
+            plain = f"{k} BETWEEN 33 AND 126 OR {k} BETWEEN 161 AND 172 OR {k} BETWEEN 174 AND 255"
+            moved = d.item(d.array(*[f"'{b:02X}'" for b in rest]), f"({k} - 255)")
+            own = f"hex(encode({c}, 'UTF-8'))" if d.name == "spark" else f"hex(encode({c}))"
+            return d.case((plain, number), (f"{k} BETWEEN 256 AND {255 + len(rest)}", moved), other=own)
+
+        return d.let(f"ascii({c})" if d.name == "spark" else f"unicode({c})", of)
+
     if d.name == "spark":
-        hexed = d.map(f"split({x}, '')", lambda c: f"coalesce(try_element_at({m}, {c}), hex(encode({c}, 'UTF-8')))")
-        return f"CASE WHEN {x} = '' THEN '' ELSE make_valid_utf8(cast(unhex(array_join({hexed}, '')) as string)) END"
-    hexed = d.map(f"string_split({x}, '')", lambda c: f"coalesce(({m})[{c}], hex(encode({c})))")
-    return f"CASE WHEN {x} = '' THEN '' ELSE decode(unhex(array_to_string({hexed}, ''))) END"
+        return f"CASE WHEN {x} = '' THEN '' ELSE make_valid_utf8(cast(unhex(array_join({d.map(f"split({x}, '')", hexed)}, '')) as string)) END"
+    return f"CASE WHEN {x} = '' THEN '' ELSE decode(unhex(array_to_string({d.map(f"string_split({x}, '')", hexed)}, ''))) END"
 
 
 def byte_encode(d: Dialect, x: str) -> str:
     """The characters that stand for the bytes of a text: the inverse of byte_decode."""
-    m = _byte_map(d, reverse=True)
+    of = {b: c for c, b in byte_characters().items()}
+    table = d.array(*[d.lit(of[b]) for b in range(256)])
     if d.name == "spark":
-        return f"array_join(transform(regexp_extract_all(hex(encode({x}, 'UTF-8')), '(..)', 1), h -> element_at({m}, h)), '')"
-    return f"array_to_string(list_transform(regexp_extract_all(hex(encode({x})), '(..)', 1), lambda h: ({m})[h]), '')"
+        return f"array_join(transform(regexp_extract_all(hex(encode({x}, 'UTF-8')), '(..)', 1), h -> get({table}, cast(conv(h, 16, 10) as int))), '')"
+    return f"array_to_string(list_transform(regexp_extract_all(hex(encode({x})), '(..)', 1), lambda h: ({table})[CAST('0x' || h AS INT) + 1]), '')"
 
 
 def decode_for(d: Dialect, architecture: str, x: str) -> str:
@@ -324,6 +342,11 @@ def decode_for(d: Dialect, architecture: str, x: str) -> str:
 
 def scrub(d: Dialect, x: str) -> str:
     """Special tokens removed (padding until none is left), then byte_decode."""
+
+    def step(s: str, _: str) -> str:  # the state is a flag (1: done) and the text
+        cleaned = lambda t: d.let(d.replace(t, PADDING), lambda r: d.case((f"{r} = {t}", d.concat("'1'", t)), other=d.concat("'0'", r)))
+        return d.case((d.starts(s, "1"), s), other=d.let(d.substr(s, 2), cleaned))
+
     rounds = lambda v: d.map(f"sequence(1, cast({d.chars(v)} div 5 as int) + 1)" if d.name == "spark" else f"range({d.chars(v)} // 5 + 1)", lambda _: "''")
-    bare = d.let(strip_tokens(d, x, SCRUBBED), lambda v: d.case((d.contains(v, PADDING), d.fold(rounds(v), v, lambda s, _: d.replace(s, PADDING))), other=v))
+    bare = d.let(strip_tokens(d, x, SCRUBBED), lambda v: d.case((d.contains(v, PADDING), d.substr(d.fold(rounds(v), d.concat("'0'", v), step), 2)), other=v))
     return d.let(bare, lambda v: byte_decode(d, v))

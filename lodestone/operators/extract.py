@@ -50,13 +50,17 @@ def last_wins(theorems: DataFrame, order: str) -> DataFrame:
     return theorems.groupBy("name").agg(F.max_by(F.struct(*[c for c in theorems.columns if c != "name"]), order).alias("t")).select("name", "t.*")
 
 
-def re_extract(attempts: DataFrame, theorems: DataFrame, mode: str = "default") -> DataFrame:
+def re_extract(attempts: DataFrame, theorems: DataFrame, mode: str = "default", order: str | None = None) -> DataFrame:
     """Attempts of known theorems with strategy, proof and lean (empty where nothing valid was found).
 
     attempts: theorem, raw and other columns; theorems: name, header,
-    informal_prefix, formal_statement. Null texts count as empty.
+    informal_prefix, formal_statement. Null texts count as empty. Of several
+    records of one name the last counts, by the order column or else as they are read.
     """
-    parts = theorems.select(F.col("name").alias("theorem"), *[F.coalesce(c, F.lit("")).alias(f"_{c}") for c in ("header", "informal_prefix", "formal_statement")])
+    parts = ("header", "informal_prefix", "formal_statement")
+    place = F.monotonically_increasing_id() if order is None else F.col(order)
+    known = last_wins(theorems.select("name", *parts, place.alias("_order")), "_order")
+    parts = known.select(F.col("name").alias("theorem"), *[F.coalesce(c, F.lit("")).alias(f"_{c}") for c in parts])
     found = attempts.withColumn("raw", F.coalesce("raw", F.lit(""))).join(parts, "theorem")
     found = found.withColumn("_found", F.expr(extract(SPARK, "raw", mode)))
     found = found.withColumn("strategy", F.col("_found.strategy")).withColumn("proof", F.col("_found.proof"))

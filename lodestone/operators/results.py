@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 KEYS = ["theorem", "attempt_key"]
 
@@ -45,7 +46,8 @@ def nest(results: DataFrame, value: str) -> DataFrame:
 def document(results: DataFrame, model: str, value: str, pretty: bool = True) -> DataFrame:
     """One row: the JSON document {model: {theorem: {attempt: text}}}.
 
-    An export for results of one model that fit a string; the default sink is rows.
+    An export for results of one model that fit a string: it is one value, of 2 GB
+    at most, made in one task. The default sink is rows.
     """
     by_name = lambda a, b: F.when(a["theorem"] < b["theorem"], -1).when(a["theorem"] > b["theorem"], 1).otherwise(0)
     inner = nest(results, value).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("theorem", "attempts")), by_name)).alias("d"))
@@ -73,6 +75,28 @@ def unnest(documents: DataFrame, model: str, column: str = "document", leaves: s
     return leaf.where("value is not null") if leaves == "drop" else leaf.withColumn("value", F.coalesce("value", F.lit("")))
 
 
+def skip(df: DataFrame, n: int, order: str) -> DataFrame:
+    """Rows behind the first n by the order column (distinct values). The first ones are found by a top-n in each partition; no order over all rows is made."""
+    if n < 1:
+        return df
+    last = df.orderBy(order).limit(n).agg(F.max(order).alias("_last"))  # one row
+    return df.join(F.broadcast(last), F.col(order) > F.col("_last")).drop("_last")
+
+
+def numbered(df: DataFrame, column: str, lead: int = 8) -> DataFrame:
+    """Distinct texts of a column with their place in order, from 1.
+
+    Texts are dealt by their first characters and numbered within those; the
+    places before come from the counts of the leads, so the window over all rows
+    sees one row for each lead.
+    """
+    rows = df.select(column).distinct().withColumn("_lead", F.substring(column, 1, lead))
+    counts = rows.groupBy("_lead").agg(F.count("*").alias("_n"))
+    before = counts.select(F.col("_lead").alias("_l"), (F.sum("_n").over(Window.orderBy("_lead")) - F.col("_n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_lead").orderBy(column))
+    return rows.withColumn("_own", own).join(before, F.col("_lead") == F.col("_l")).select(column, (F.col("_before") + F.col("_own")).alias("place"))
+
+
 def file_stem(name: str) -> str:
     """SQL text of a name that is safe in file names."""
     return f"replace(replace({name}, '/', '_'), ' ', '_')"

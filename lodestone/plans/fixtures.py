@@ -5,7 +5,9 @@ The text is valid in Spark and in the checking database, so both see one input.
 
 from __future__ import annotations
 
-from ..functions.dialect import Dialect
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions.dialect import SPARK, Dialect
 from ..operators.registry import models_sql
 
 #: Theorems that the attempts are dealt to.
@@ -14,12 +16,6 @@ THEOREMS = 40
 
 def ctes(d: Dialect, sf_dir: str, *names: str) -> str:
     """A WITH clause that defines the views named."""
-    # whole_ views: the same over whole texts and all labels
-    bare = lambda t: f"""SELECT doc_id, {t} AS t, chr(10) AS nl, concat(chr(96), chr(96), chr(96)) AS f,
-  concat('item_', CAST(doc_id % {THEOREMS} AS STRING)) AS theorem,
-  CAST(floor(doc_id / {THEOREMS}) AS BIGINT) AS attempt_index,
-  concat('theorem item_', CAST(doc_id % {THEOREMS} AS STRING), ' (n : Nat) : n = n := by') AS st
- FROM {d.table(sf_dir, "documents")}"""
     views = {
         "models": models_sql(d),
         "theorems": f"""SELECT concat('item_', CAST(item_id AS STRING)) AS name,
@@ -29,8 +25,11 @@ def ctes(d: Dialect, sf_dir: str, *names: str) -> str:
  CASE WHEN item_id % 5 = 0 THEN '' ELSE concat('import Mathlib', chr(10), 'open Nat') END AS header,
  '' AS goal, item_id
 FROM {d.table(sf_dir, "benchmark")}""",
-        "bare": bare("substr(text, 1, 400)"),
-        "whole_bare": bare("text"),
+        "bare": f"""SELECT doc_id, text AS t, chr(10) AS nl, concat(chr(96), chr(96), chr(96)) AS f,
+  concat('item_', CAST(doc_id % {THEOREMS} AS STRING)) AS theorem,
+  CAST(floor(doc_id / {THEOREMS}) AS BIGINT) AS attempt_index,
+  concat('theorem item_', CAST(doc_id % {THEOREMS} AS STRING), ' (n : Nat) : n = n := by') AS st
+ FROM {d.table(sf_dir, "documents")}""",
         "attempts": """SELECT theorem, attempt_index, concat('attempt_', CAST(attempt_index + 1 AS STRING)) AS attempt_key,
  CASE doc_id % 16
   WHEN 0 THEN concat('<think>', t, '</think>', nl, f, 'lean4', nl, 'import Mathlib', nl, st, nl, '  rfl', nl, f)
@@ -51,22 +50,19 @@ FROM {d.table(sf_dir, "benchmark")}""",
   ELSE concat('### Detailed', nl, t, nl, '**bold**')
  END AS raw
 FROM bare""",
-        "done": f"SELECT DISTINCT concat('item_', CAST(doc_id % {THEOREMS} AS STRING)) AS name FROM {d.table(sf_dir, 'labels')} WHERE doc_id < 60",
         # theorems of which a larger share of the labels is good than of all labels
-        "whole_done": f"""SELECT concat('item_', CAST(doc_id % (SELECT count(*) FROM {d.table(sf_dir, "benchmark")}) AS STRING)) AS name
+        "done": f"""SELECT concat('item_', CAST(doc_id % (SELECT count(*) FROM {d.table(sf_dir, "benchmark")}) AS STRING)) AS name
  FROM {d.table(sf_dir, "labels")} GROUP BY 1
  HAVING count(CASE WHEN quality = 1 THEN 1 END) * (SELECT count(*) FROM {d.table(sf_dir, "labels")}) > count(*) * (SELECT count(*) FROM {d.table(sf_dir, "labels")} WHERE quality = 1)""",
         "checkpoint": "SELECT m.name AS model, d.name AS name FROM models m JOIN done d ON (length(d.name) + m.ord) % 2 = 0 AND m.ord < 5",
     }
-    views["whole_attempts"] = views["attempts"].removesuffix("FROM bare") + "FROM whole_bare"
-    views["whole_checkpoint"] = views["checkpoint"].replace("JOIN done d", "JOIN whole_done d")
     need = list(names)
     if "attempts" in need:
         need.append("bare")
-    if "whole_attempts" in need:
-        need.append("whole_bare")
-    if "whole_checkpoint" in need:
-        need += ["models", "whole_done"]
     if "checkpoint" in need:
         need += ["models", "done"]
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in views.items() if k in need)
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.sql(f"{ctes(SPARK, sf_dir, name)} SELECT * FROM {name}")

@@ -15,17 +15,15 @@ from ..functions import text as t
 from ..functions.dialect import DUCK, SPARK, Dialect
 from ..operators import extract as ex
 from ..operators import jobs, prompts, registry, results
-from .fixtures import ctes
+from ..sources import problems
+from . import scratch
+from .fixtures import ctes, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-#: By suffix of a query's name the attempts it reads: with texts cut to 400 characters, or whole.
-ATTEMPTS_OF = {"": "attempts", "_whole": "whole_attempts"}
-
-
-#: Attempts in one document of a theorem in unnest_whole.
+#: Attempts in one document of a theorem in unnest.
 BLOCK = 100
 
 
@@ -42,20 +40,15 @@ def frame(name: str, run: Callable[[SparkSession, str], DataFrame], sql: str | N
         ORACLE[name] = sql
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(f"{ctes(SPARK, sf_dir, name)} SELECT * FROM {name}")
-
-
 def on_raw(name: str, column: str, op: Callable[..., str]) -> None:
     """A text operator over the raw completions."""
-    for suffix, attempts in ATTEMPTS_OF.items():
-        both(name + suffix, lambda d, sf, a=attempts: f"{ctes(d, sf, a)} SELECT theorem, attempt_key, {op(d, 'raw')} AS {column} FROM {a}")
+    both(name, lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT theorem, attempt_key, {op(d, 'raw')} AS {column} FROM attempts")
 
 
 # the registry
 both("models", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT * FROM models")
 both("list_models", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, ord FROM models")
-both("find_model", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, architecture, prompt_format FROM models WHERE name = 'stp-model-lean'")
+frame("find_model", lambda s, d: registry.find_model(s, "stp-model-lean").select("name", "architecture", "prompt_format"), f"{ctes(DUCK, '', 'models')} SELECT name, architecture, prompt_format FROM models WHERE name = 'stp-model-lean'")
 both("served_window", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, {registry.served_window()} AS served_window FROM models")
 
 # text operators
@@ -81,12 +74,11 @@ both(
     "decode_for_architecture",
     lambda d, sf: f"{ctes(d, sf, 'theorems', 'models')} SELECT t.name, m.name AS model, {t.decode_for(d, 'm.architecture', t.byte_encode(d, 't.formal_statement'))} AS decoded FROM theorems t CROSS JOIN models m",
 )
-for _suffix, _attempts in ATTEMPTS_OF.items():
-    both(
-        "fence_candidates" + _suffix,
-        lambda d, sf, a=_attempts: f"{ctes(d, sf, a)}, c AS (SELECT theorem, attempt_key, {t.fence_candidates(d, 'raw')} AS c FROM {a}) "
-        f"SELECT theorem, attempt_key, CAST({d.size('c')} AS BIGINT) AS n, CAST({d.greatest_of(d.map('c', lambda v: f'{v}.score'))} AS BIGINT) AS best, {d.join(d.map('c', lambda v: f'{v}.code'), '|')} AS codes FROM c",
-    )
+both(
+    "fence_candidates",
+    lambda d, sf: f"{ctes(d, sf, 'attempts')}, c AS (SELECT theorem, attempt_key, {t.fence_candidates(d, 'raw')} AS c FROM attempts) "
+    f"SELECT theorem, attempt_key, CAST({d.size('c')} AS BIGINT) AS n, CAST({d.greatest_of(d.map('c', lambda v: f'{v}.score'))} AS BIGINT) AS best, {d.join(d.map('c', lambda v: f'{v}.code'), '|')} AS codes FROM c",
+)
 
 
 def _responses(d: Dialect) -> str:
@@ -103,27 +95,39 @@ both("completion_text", lambda d, sf: f"{ctes(d, sf, 'attempts')}, r AS (SELECT
 _DUCK_PARTS = "t.header, t.informal_prefix, t.formal_statement"
 
 
-def _extracted(mode: str, attempts: str = "attempts") -> str:
+def _extracted(mode: str, theorems: str = "theorems t") -> str:
     return (
-        f"{ctes(DUCK, '', 'theorems', attempts)}, e AS MATERIALIZED (SELECT a.theorem, a.attempt_key, a.raw, {_DUCK_PARTS}, {ex.extract(DUCK, 'a.raw', mode)} AS x FROM {attempts} a JOIN theorems t ON a.theorem = t.name), "
+        f"{ctes(DUCK, '', 'theorems', 'attempts')}, e AS MATERIALIZED (SELECT a.theorem, a.attempt_key, a.raw, {_DUCK_PARTS}, {ex.extract(DUCK, 'a.raw', mode)} AS x FROM attempts a JOIN {theorems} ON a.theorem = t.name), "
         f"r AS MATERIALIZED (SELECT theorem, attempt_key, CAST(x.strategy AS INT) AS strategy, x.proof AS proof, {ex.assemble(DUCK, 'header', 'informal_prefix', 'formal_statement', 'x.proof', mode)} AS lean FROM e) "
     )
 
 
-def _re_extract(spark: SparkSession, sf_dir: str, mode: str = "default", attempts: str = "attempts") -> DataFrame:
-    return ex.re_extract(view(spark, sf_dir, attempts), view(spark, sf_dir, "theorems"), mode).select("theorem", "attempt_key", "strategy", "proof", "lean")
+def _re_extract(spark: SparkSession, sf_dir: str, mode: str = "default") -> DataFrame:
+    return ex.re_extract(view(spark, sf_dir, "attempts"), view(spark, sf_dir, "theorems"), mode, "item_id").select("theorem", "attempt_key", "strategy", "proof", "lean")
 
 
 _RATE = "SELECT count(*) AS total, count(*) FILTER (WHERE lean <> '') AS recovered, round(CASE WHEN count(*) > 0 THEN 100.0 * count(*) FILTER (WHERE lean <> '') / count(*) ELSE 0 END, 1) AS rate FROM r"
 for _mode, _suffix in (("default", ""), ("strict", "_stp")):
-    for _whole, _attempts in ATTEMPTS_OF.items():
-        frame("re_extract" + _suffix + _whole, lambda s, d, m=_mode, a=_attempts: _re_extract(s, d, m, a), _extracted(_mode, _attempts) + "SELECT theorem, attempt_key, strategy, proof, lean FROM r")
-        frame("re_extract_rate" + _suffix + _whole, lambda s, d, m=_mode, a=_attempts: ex.recovery(_re_extract(s, d, m, a)), _extracted(_mode, _attempts) + _RATE.replace("round(", "round(CAST(", 1).replace(" END, 1)", " END AS DOUBLE), 1)"))
-        frame(
-            "extract_strategy_counts" + _suffix + _whole,
-            lambda s, d, m=_mode, a=_attempts: _re_extract(s, d, m, a).groupBy("strategy").agg(F.count("*").alias("n"), F.count_if(F.col("lean") != "").alias("recovered")),
-            _extracted(_mode, _attempts) + "SELECT strategy, count(*) AS n, count(*) FILTER (WHERE lean <> '') AS recovered FROM r GROUP BY strategy",
-        )
+    frame("re_extract" + _suffix, lambda s, d, m=_mode: _re_extract(s, d, m), _extracted(_mode) + "SELECT theorem, attempt_key, strategy, proof, lean FROM r")
+    frame("re_extract_rate" + _suffix, lambda s, d, m=_mode: ex.recovery(_re_extract(s, d, m)), _extracted(_mode) + _RATE.replace("round(", "round(CAST(", 1).replace(" END, 1)", " END AS DOUBLE), 1)"))
+    frame(
+        "extract_strategy_counts" + _suffix,
+        lambda s, d, m=_mode: _re_extract(s, d, m).groupBy("strategy").agg(F.count("*").alias("n"), F.count_if(F.col("lean") != "").alias("recovered")),
+        _extracted(_mode) + "SELECT strategy, count(*) AS n, count(*) FILTER (WHERE lean <> '') AS recovered FROM r GROUP BY strategy",
+    )
+# several records of one name: the last one counts
+_NAMES = 13
+frame(
+    "re_extract_dup_names",
+    lambda s, d: ex.re_extract(
+        view(s, d, "attempts"), view(s, d, "theorems").withColumn("name", F.concat(F.lit("item_"), F.expr(f"item_id % {_NAMES}").cast("string"))), "default", "item_id"
+    ).select("theorem", "attempt_key", "strategy", "proof", "lean"),
+    _extracted(
+        "default",
+        f"(SELECT concat('item_', CAST(item_id % {_NAMES} AS VARCHAR)) AS name, arg_max(header, item_id) AS header, arg_max(informal_prefix, item_id) AS informal_prefix, arg_max(formal_statement, item_id) AS formal_statement FROM theorems GROUP BY item_id % {_NAMES}) t",
+    )
+    + "SELECT theorem, attempt_key, strategy, proof, lean FROM r",
+)
 for _mode, _suffix in (("default", ""), ("strict", "_stp")):
     both("proof_file" + _suffix, lambda d, sf, m=_mode: f"{ctes(d, sf, 'theorems')} SELECT name, {ex.proof_file(d, 'header', 'informal_prefix', 'formal_statement', d.lit('  rfl'), m)} AS lean FROM theorems")
 
@@ -150,8 +154,8 @@ frame(
 _FIELDS = "model string, prompt string, max_tokens bigint, temperature double, top_p double, seed bigint, stop array<string>"
 frame(
     "request_json",
-    lambda s, d: jobs.plan_jobs(view(s, d, "theorems"), registry.models(s), ATTEMPTS).select("model", "name", "i", F.from_json("request", _FIELDS).alias("r")).select("model", "name", "i", "r.max_tokens", "r.temperature", "r.top_p", "r.seed", F.array_join("r.stop", "|").alias("stop")),
-    f"{ctes(DUCK, '', 'theorems', 'models')} SELECT m.name AS model, t.name, CAST(g.i AS INT) AS i, m.max_tokens, m.temperature, m.top_p, m.seed + g.i AS seed, array_to_string(m.stop_sequences, '|') AS stop FROM theorems t CROSS JOIN models m CROSS JOIN range({ATTEMPTS}) g(i)",
+    lambda s, d: jobs.plan_jobs(view(s, d, "theorems"), registry.models(s), ATTEMPTS).select("model", "name", "i", F.from_json("request", _FIELDS).alias("r"), (F.get_json_object("request", "$.prompt") == F.col("prompt")).alias("same_prompt")).select("model", "name", "i", "same_prompt", "r.max_tokens", "r.temperature", "r.top_p", "r.seed", F.array_join("r.stop", "|").alias("stop")),
+    f"{ctes(DUCK, '', 'theorems', 'models')} SELECT m.name AS model, t.name, CAST(g.i AS INT) AS i, true AS same_prompt, m.max_tokens, m.temperature, m.top_p, m.seed + g.i AS seed, array_to_string(m.stop_sequences, '|') AS stop FROM theorems t CROSS JOIN models m CROSS JOIN range({ATTEMPTS}) g(i)",
 )
 both("seed", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT theorem, attempt_index, {jobs.seed('4294967290', 'attempt_index')} AS seed FROM attempts")
 frame(
@@ -162,32 +166,25 @@ frame(
 
 # sources, joins and groups
 _T = "name, split, informal_prefix, formal_statement, header"
-frame(
-    "load_all",
-    lambda s, d: view(s, d, "theorems").where("split = 'test'").withColumn("split_ord", F.lit(0)).unionByName(view(s, d, "theorems").where("split = 'valid'").withColumn("split_ord", F.lit(1))).select(*_T.split(", "), "split_ord"),
-    f"{ctes(DUCK, '', 'theorems')} SELECT {_T}, CASE WHEN split = 'test' THEN 0 ELSE 1 END AS split_ord FROM theorems",
-)
-both("filter_split", lambda d, sf: f"{ctes(d, sf, 'theorems')} SELECT {_T} FROM theorems WHERE split = 'valid'")
+frame("filter_split", lambda s, d: problems.load_jsonl(s, f"{scratch.problem_files(s, d, True)}/raw/all.jsonl", "valid").select(*_T.split(", ")), f"{ctes(DUCK, '', 'theorems')} SELECT {_T} FROM theorems WHERE split = 'valid'")
+frame("load_jsonl", lambda s, d: problems.load_jsonl(s, f"{scratch.problem_files(s, d, True)}/raw/all.jsonl"), f"{ctes(DUCK, '', 'theorems')} SELECT {_T}, goal FROM theorems")
+_BY_SPLIT = f"SELECT {_T}, CASE WHEN split = 'test' THEN 0 ELSE 1 END AS split_ord FROM theorems"
+# from a file of each split, and with one of them missing from the file of all
+frame("load_all", lambda s, d: problems.load_all(s, scratch.problem_files(s, d, False))[0].select(*_T.split(", "), "split_ord"), f"{ctes(DUCK, '', 'theorems')} {_BY_SPLIT}")
+frame("load_all_fallback", lambda s, d: problems.load_all(s, scratch.problem_files(s, d, True), "all.jsonl")[0].select(*_T.split(", "), "split_ord"), f"{ctes(DUCK, '', 'theorems')} {_BY_SPLIT}")
 frame("pending", lambda s, d: results.pending(view(s, d, "theorems"), view(s, d, "done")).select(*_T.split(", ")), f"{ctes(DUCK, '', 'theorems', 'done')} SELECT {_T} FROM theorems WHERE name NOT IN (SELECT name FROM done)")
-frame("pending_whole", lambda s, d: results.pending(view(s, d, "theorems"), view(s, d, "whole_done")).select(*_T.split(", ")), f"{ctes(DUCK, '', 'theorems', 'whole_done')} SELECT {_T} FROM theorems WHERE name NOT IN (SELECT name FROM whole_done)")
 frame(
     "upsert",
-    lambda s, d: results.upsert(view(s, d, "attempts").where("attempt_index < 12").select("theorem", "attempt_key", "raw"), view(s, d, "attempts").where("attempt_index BETWEEN 8 AND 15").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw"))),
-    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw || CASE WHEN attempt_index >= 8 THEN ' new' ELSE '' END AS raw FROM attempts WHERE attempt_index < 16",
-)
-for _suffix, _attempts in ATTEMPTS_OF.items():
-    frame(
-        "merge_outer" + _suffix,
-        lambda s, d, a=_attempts: results.merge_outer(view(s, d, a).where("attempt_index < 12"), view(s, d, a).where("attempt_index > 6").select("theorem", "attempt_key", F.md5("raw").alias("lean"))),
-        f"{ctes(DUCK, '', _attempts)} SELECT theorem, attempt_key, CASE WHEN attempt_index < 12 THEN raw ELSE '' END AS raw, CASE WHEN attempt_index > 6 THEN md5(raw) ELSE '' END AS lean FROM {_attempts}",
-    )
-frame(
-    "upsert_whole",
     lambda s, d: results.upsert(
-        view(s, d, "whole_attempts").where("attempt_index % 3 <> 0").select("theorem", "attempt_key", "raw"),
-        view(s, d, "whole_attempts").where("attempt_index % 3 <> 1").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw")),
+        view(s, d, "attempts").where("attempt_index % 3 <> 0").select("theorem", "attempt_key", "raw"),
+        view(s, d, "attempts").where("attempt_index % 3 <> 1").select("theorem", "attempt_key", F.concat("raw", F.lit(" new")).alias("raw")),
     ),
-    f"{ctes(DUCK, '', 'whole_attempts')} SELECT theorem, attempt_key, raw || CASE WHEN attempt_index % 3 <> 1 THEN ' new' ELSE '' END AS raw FROM whole_attempts",
+    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw || CASE WHEN attempt_index % 3 <> 1 THEN ' new' ELSE '' END AS raw FROM attempts",
+)
+frame(
+    "merge_outer",
+    lambda s, d: results.merge_outer(view(s, d, "attempts").where("attempt_index % 3 <> 0"), view(s, d, "attempts").where("attempt_index % 3 <> 1").select("theorem", "attempt_key", F.md5("raw").alias("lean"))),
+    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, CASE WHEN attempt_index % 3 <> 0 THEN raw ELSE '' END AS raw, CASE WHEN attempt_index % 3 <> 1 THEN md5(raw) ELSE '' END AS lean FROM attempts",
 )
 frame(
     "key_union",
@@ -209,33 +206,39 @@ frame(
     lambda s, d: results.done_counts(registry.models(s), view(s, d, "checkpoint")),
     f"{ctes(DUCK, '', 'checkpoint')} SELECT m.name, m.ord, count(c.name) AS total_done FROM models m LEFT JOIN checkpoint c ON c.model = m.name GROUP BY m.name, m.ord",
 )
-frame(
-    "status_whole",
-    lambda s, d: results.done_counts(registry.models(s), view(s, d, "whole_checkpoint")),
-    f"{ctes(DUCK, '', 'whole_checkpoint')} SELECT m.name, m.ord, count(c.name) AS total_done FROM models m LEFT JOIN whole_checkpoint c ON c.model = m.name GROUP BY m.name, m.ord",
-)
 both("theorem_counts", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT CASE WHEN attempt_index % 2 = 0 THEN 'a' ELSE 'b' END AS model, count(DISTINCT theorem) AS theorems FROM attempts GROUP BY 1")
-both("skip_n", lambda d, sf: f"{ctes(d, sf, 'theorems')}, o AS (SELECT name, row_number() OVER (ORDER BY item_id) AS place FROM theorems) SELECT name FROM o WHERE place > 7")
-both("sorted_names", lambda d, sf: f"{ctes(d, sf, 'done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM done")
-both("sorted_names_whole", lambda d, sf: f"{ctes(d, sf, 'whole_done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM whole_done")
+frame("skip_n", lambda s, d: results.skip(view(s, d, "theorems"), 7, "item_id").select("name"), f"{ctes(DUCK, '', 'theorems')} SELECT name FROM theorems ORDER BY item_id OFFSET 7")
+frame("sorted_names", lambda s, d: results.numbered(view(s, d, "done"), "name"), f"{ctes(DUCK, '', 'done')} SELECT name, row_number() OVER (ORDER BY name) AS place FROM done")
 both("file_stem", lambda d, sf: f"{ctes(d, sf, 'models')} SELECT name, {results.file_stem(d.concat(d.lit('org/'), 'name', d.lit(' v 1')))} AS stem FROM models")
-for _suffix, _attempts in ATTEMPTS_OF.items():
-    both("output_sizes" + _suffix, lambda d, sf, a=_attempts: f"{ctes(d, sf, a)} SELECT theorem, CAST(sum({d.octets('raw')}) AS BIGINT) AS bytes, round(CAST(CAST(sum({d.octets('raw')}) AS BIGINT) AS DOUBLE) / 1e6, 1) AS mb FROM {a} GROUP BY theorem")
+both("output_sizes", lambda d, sf: f"{ctes(d, sf, 'attempts')} SELECT theorem, CAST(sum({d.octets('raw')}) AS BIGINT) AS bytes, round(CAST(CAST(sum({d.octets('raw')}) AS BIGINT) AS DOUBLE) / 1e6, 1) AS mb FROM attempts GROUP BY theorem")
 
 # nested documents
-for _suffix, _attempts in ATTEMPTS_OF.items():
-    frame(
-        "nest" + _suffix,
-        lambda s, d, a=_attempts: results.nest(view(s, d, a).select("theorem", "attempt_key", F.md5("raw").alias("v")), "v").select("theorem", F.to_json("attempts").alias("attempts")),
-        f"{ctes(DUCK, '', _attempts)} SELECT theorem, concat('{{', string_agg(concat('\"', attempt_key, '\":\"', md5(raw), '\"'), ',' ORDER BY attempt_key), '}}') AS attempts FROM {_attempts} GROUP BY theorem",
-    )
+frame(
+    "nest",
+    lambda s, d: results.nest(view(s, d, "attempts").select("theorem", "attempt_key", F.md5("raw").alias("v")), "v").select("theorem", F.to_json("attempts").alias("attempts")),
+    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, concat('{{', string_agg(concat('\"', attempt_key, '\":\"', md5(raw), '\"'), ',' ORDER BY attempt_key), '}}') AS attempts FROM attempts GROUP BY theorem",
+)
 frame(
     "unnest",
-    lambda s, d: results.unnest(results.document(view(s, d, "attempts").where("attempt_index < 9"), "m", "raw"), "m"),
-    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw AS value FROM attempts WHERE attempt_index < 9",
+    lambda s, d: results.unnest(results.documents(view(s, d, "attempts"), "m", "raw", F.floor(F.col("attempt_index") / BLOCK)), "m"),
+    f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, raw AS value FROM attempts",
 )
+# one nested document of each kind of text in a file, read again: the sink's column pick
+for _kind, _value in (("raw", "theorem || ' ' || attempt_key"), ("lean", "md5(theorem || ' ' || attempt_key)")):
+    frame(
+        f"stored_{_kind}",
+        lambda s, d, k=_kind: scratch.stored(s, d, k),
+        f"{ctes(DUCK, '', 'attempts')} SELECT theorem, attempt_key, {_value} AS value FROM attempts",
+    )
+# names marked done in overlapping batches, one of them twice: a set
+frame("done_set", lambda s, d: scratch.done_set(s, d), f"{ctes(DUCK, '', 'theorems')} SELECT DISTINCT name FROM theorems WHERE item_id % 5 <> 4")
+
+# a whole run with a backend that answers by the request's seed: text, an error body, no text
+_ANSWER = "CASE (m.seed + g.i) % 3 WHEN 0 THEN concat(chr(96), chr(96), chr(96), 'lean4', chr(10), '  rfl', chr(10), chr(96), chr(96), chr(96)) ELSE '' END"
 frame(
-    "unnest_whole",
-    lambda s, d: results.unnest(results.documents(view(s, d, "whole_attempts"), "m", "raw", F.floor(F.col("attempt_index") / BLOCK)), "m"),
-    f"{ctes(DUCK, '', 'whole_attempts')} SELECT theorem, attempt_key, raw AS value FROM whole_attempts",
+    "generate",
+    lambda s, d: scratch.generated(s, d, ATTEMPTS),
+    f"{ctes(DUCK, '', 'theorems', 'models')}, a AS MATERIALIZED (SELECT t.*, m.name AS model, concat('attempt_', CAST(g.i + 1 AS VARCHAR)) AS attempt_key, {_ANSWER} AS raw FROM theorems t JOIN models m ON m.name = '{scratch.MODEL}' CROSS JOIN range({ATTEMPTS}) g(i)), "
+    "p AS MATERIALIZED (SELECT *, CASE WHEN raw = '' THEN '' ELSE 'rfl' END AS proof FROM a) "
+    f"SELECT model, name AS theorem, attempt_key, raw, proof, {ex.assemble(DUCK, 'header', 'informal_prefix', 'formal_statement', 'proof')} AS lean FROM p",
 )

@@ -10,8 +10,8 @@ REQUIRED = ["name", "split", "formal_statement"]
 OPTIONAL = ["informal_prefix", "header", "goal"]
 FIELDS = ["name", "split", "informal_prefix", "formal_statement", "header", "goal"]
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in FIELDS])
-#: The file that holds all splits.
-COMBINED = "minif2f.jsonl"
+#: The file that holds all splits, unless another name is given.
+COMBINED = "problems.jsonl"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -32,20 +32,20 @@ def load_jsonl(spark: SparkSession, path: str, split: str | None = None) -> Data
     return rows.where(F.col("split") == split) if split else rows
 
 
-def load_split(spark: SparkSession, data_dir: str, split: str) -> DataFrame:
+def load_split(spark: SparkSession, data_dir: str, split: str, combined: str = COMBINED) -> DataFrame:
     """The split's own file if it has records (whatever split they name), else those of the combined file."""
     own = f"{data_dir}/raw/{split}.jsonl"
     if exists(spark, own):
         rows = load_jsonl(spark, own)
         if not rows.isEmpty():
             return rows
-    combined = f"{data_dir}/raw/{COMBINED}"
-    if exists(spark, combined):
-        return load_jsonl(spark, combined, split)
+    every = f"{data_dir}/raw/{combined}"
+    if exists(spark, every):
+        return load_jsonl(spark, every, split)
     raise FileNotFoundError(f"no records of split {split} below {data_dir}/raw")
 
 
-def load_all(spark: SparkSession, data_dir: str) -> tuple[DataFrame, list[str]]:
+def load_all(spark: SparkSession, data_dir: str, combined: str = COMBINED) -> tuple[DataFrame, list[str]]:
     """Records of the splits test and valid, in that order (split_ord), duplicates kept; and the warnings of splits that failed.
 
     Fails only if nothing was loaded and a split failed.
@@ -53,7 +53,7 @@ def load_all(spark: SparkSession, data_dir: str) -> tuple[DataFrame, list[str]]:
     out, warnings = None, []
     for k, split in enumerate(("test", "valid")):
         try:
-            rows = load_split(spark, data_dir, split).withColumn("split_ord", F.lit(k))
+            rows = load_split(spark, data_dir, split, combined).withColumn("split_ord", F.lit(k))
             rows.isEmpty()
         except Exception as e:  # the store's and the parser's errors alike are warnings here
             warnings.append(f"{split}: {e}")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import results
+from ..operators import extract, results
 from .problems import exists
 
 
@@ -33,16 +33,66 @@ def read_document(spark: SparkSession, path: str, model: str, leaves: str = "dro
     return results.unnest(docs, model, leaves=leaves)
 
 
+def keep_backup(spark: SparkSession, path: str) -> None:
+    """Move what a path holds aside, to <path>.bak, in place of an older backup."""
+    if not exists(spark, path):
+        return
+    old, bak = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.bak"))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(bak, True)
+    if not fs.rename(old, bak):
+        raise OSError(f"{path} could not be backed up")
+
+
 def write_documents(found: DataFrame, out_dir: str, model: str) -> dict[str, float]:
-    """Write the raw and the assembled texts as one document each; their sizes in MB to one decimal."""
+    """Write the raw and the assembled texts as one document each (2 GB at most, made in one task); their sizes in MB to one decimal.
+
+    An earlier document of assembled texts stays as a backup.
+    """
     sizes = {}
     for kind, folder in (("raw", "raw_output"), ("lean", "lean_code")):
-        doc = results.document(found, model, kind)
-        doc.coalesce(1).write.mode("overwrite").text(f"{out_dir}/{folder}/{stem(model)}")
-        sizes[kind] = doc.select(F.round(F.octet_length("document") / 1e6, 1)).first()[0]
+        path = f"{out_dir}/{folder}/{stem(model)}"
+        if kind == "lean":
+            keep_backup(found.sparkSession, path)
+        results.document(found, model, kind).coalesce(1).write.mode("overwrite").text(path)
+        stored = found.sparkSession.read.text(path, wholetext=True)
+        sizes[kind] = stored.select(F.round((F.octet_length("value") - 1) / 1e6, 1)).first()[0]  # without the line's end
     return sizes
 
 
+def re_extract_file(spark: SparkSession, out_dir: str, model: str, theorems: DataFrame, mode: str = "default") -> DataFrame:
+    """Extract again from a model's stored raw document and store the assembled texts; total, recovered and rate.
+
+    Fails where the document is missing or lacks the model. Of several records of a name the last counts.
+    """
+    path = f"{out_dir}/raw_output/{stem(model)}"
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    raw = read_document(spark, path, model, leaves="empty", missing="error").withColumnRenamed("value", "raw")
+    found = extract.re_extract(raw, theorems, mode)
+    target = f"{out_dir}/lean_code/{stem(model)}"
+    keep_backup(spark, target)
+    results.document(found, model, "lean").coalesce(1).write.mode("overwrite").text(target)
+    return extract.recovery(found)
+
+
+def status(spark: SparkSession, folder: str, models: DataFrame, run_id: str = "default") -> DataFrame:
+    """Of every model the size of its done-set in a run (0 where there is none). The registry is a fixed handful of models."""
+    sets = [DoneSet(spark, folder, r["name"], run_id).names().withColumn("model", F.lit(r["name"])) for r in models.select("name").collect()]
+    every = sets[0]
+    for s in sets[1:]:
+        every = every.unionByName(s)
+    return results.done_counts(models, every.select("model", "name"))
+
+
+def ready(spark: SparkSession, path: str) -> bool:
+    """Whether a model's folder holds its settings and weights: config.json and a .safetensors file."""
+    if not exists(spark, f"{path}/config.json"):
+        return False
+    weights = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*.safetensors")
+    return len(weights.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(weights) or []) > 0
+
+
 class DoneSet:
     """Names that are done for a model and run: rows in a folder, one subfolder for each batch."""
 

@@ -17,6 +17,8 @@ from ..sources.stores import DoneSet
 
 #: Tries of a request after the first, with waits of 1, 2 and 4 seconds.
 RETRIES = 3
+#: Folders that the keys of followed results are dealt to by theorem; a micro-batch reads those of its theorems.
+KEY_PARTS = 64
 COMPLETIONS = "model string, theorem string, attempt_key string, body string"
 
 
@@ -75,14 +77,22 @@ def follow(spark: SparkSession, completions_dir: str, theorems: DataFrame, model
     A micro-batch writes its results into a folder of its own and then marks the
     theorems that have n attempts by now; both replace themselves on a retry, so
     a crash between them loses nothing and a theorem is never done before its
-    data is stored. Attempts of incomplete theorems stay stored and unmarked.
+    data is stored. Attempts of incomplete theorems stay stored and unmarked. The
+    keys of pending theorems' attempts stand in a folder of their own, and a
+    micro-batch reads the keys of the theorems it touches.
     """
     done = DoneSet(spark, f"{out_dir}/checkpoints", model, run_id)
 
     def batch(df: DataFrame, k: int) -> None:
         found = postprocess(df.where(F.col("model") == model), theorems, registry.models(spark))
-        found.write.mode("overwrite").parquet(f"{out_dir}/results/batch={k}")
-        stored = spark.read.option("basePath", f"{out_dir}/results").parquet(f"{out_dir}/results/batch=*").select("theorem", "attempt_key").distinct()
+        path = f"{out_dir}/results/batch={k}"
+        found.write.mode("overwrite").parquet(path)
+        keys = spark.read.parquet(path).select(F.pmod(F.xxhash64("theorem"), F.lit(KEY_PARTS)).alias("part"), "theorem", "attempt_key").distinct()
+        keys.write.mode("overwrite").partitionBy("part").parquet(f"{out_dir}/keys/batch={k}")
+        touched = spark.read.parquet(f"{out_dir}/keys/batch={k}").select("part", "theorem").distinct()
+        parts = sorted(r["part"] for r in touched.select("part").distinct().collect())  # KEY_PARTS at most
+        every = spark.read.option("basePath", f"{out_dir}/keys").schema("theorem string, attempt_key string, batch int, part int").parquet(f"{out_dir}/keys").where(F.col("part").isin(parts))
+        stored = every.join(touched.select("theorem"), "theorem", "left_semi").select("theorem", "attempt_key").distinct()
         full = results.complete_groups(stored, n).select(F.col("theorem").alias("name")).distinct()
         done.mark(results.pending(full, done.names()), k)
 

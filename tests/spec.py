@@ -2,8 +2,14 @@
 
 import re
 
-from lodestone.functions.dialect import SPACE
-from lodestone.functions.text import CHAT_TOKENS, NOT_PROOF, OPENERS, OUTPUT_MARKS
+# Fixed values, written down here a second time: a wrong one in the package must fail a test.
+SPACE = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+NOT_PROOF = "theorem lemma import open set_option noncomputable variable".split()
+OPENERS = [f"```{kind}{end}" for kind in ("lean4", "tactics", "") for end in ("\n", "")]
+OUTPUT_MARKS = ["<|im_start|>assistant\n", "<｜Assistant｜>", "### Response:\n"]
+CHAT_TOKENS = """<|im_end|> <|im_start|> <|endoftext|> <|begin_of_text|> <|end_of_text|> <|eot_id|> </s> <｜User｜> <｜Assistant｜>
+<｜begin▁of▁sentence｜> <｜end▁of▁sentence｜> <|EOT|> <|User|> <|Assistant|>""".split()
+CHAT_TOKENS[11:11] = ["### Instruction:", "### Response:"]
 
 
 def trim(s):
@@ -50,8 +56,7 @@ def fence(s):
             code = trim(code)
             if trim(opener) == "```" and "\n" in code:
                 first, _, rest = code.partition("\n")
-                first = trim(first)
-                if first and all(c.isalnum() or c in "_-" for c in first):
+                if re.fullmatch(f"[{SPACE}]*[\\w-]+[{SPACE}]*", first):
                     code = trim(rest)
             n = len(trim(strip_header(code)).encode())
             if n > top:

@@ -25,7 +25,7 @@ def test_sources(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     (raw / "test.jsonl").write_text('{"name":"a","split":"valid","formal_statement":"s","extra":1}\n\n')
-    (raw / "minif2f.jsonl").write_text('{"name":"b","split":"valid","formal_statement":"s","header":"h"}\n{"name":"c","split":"test","formal_statement":"s"}\n')
+    (raw / "problems.jsonl").write_text('{"name":"b","split":"valid","formal_statement":"s","header":"h"}\n{"name":"c","split":"test","formal_statement":"s"}\n')
     got, warnings = problems.load_all(spark, str(tmp_path))
     assert rows(got.select("name", "split_ord", "header")) == [("a", 0, ""), ("b", 1, "h")] and not warnings
     (raw / "test.jsonl").write_text("{bad\n")
@@ -34,6 +34,8 @@ def test_sources(spark, tmp_path):
     (raw / "test.jsonl").write_text("")
     assert rows(problems.load_split(spark, str(tmp_path), "test").select("name")) == [("c",)]
     (raw / "x.jsonl").write_text('{"name":null,"split":"x","formal_statement":"s"}\n')
+    (raw / "every.jsonl").write_text('{"name":"z","split":"valid","formal_statement":"s"}\n')
+    assert rows(problems.load_split(spark, str(tmp_path), "valid", "every.jsonl").select("name")) == [("z",)]
     with pytest.raises(Exception, match="lacks name"):
         problems.load_jsonl(spark, f"{raw}/x.jsonl").collect()
 
@@ -104,6 +106,64 @@ def test_re_extract_last_wins(spark):
     twice = spark.createDataFrame([("a", 1, "h1"), ("a", 2, "h2")], "name string, k int, header string")
     assert rows(extract.last_wins(twice, "k").select("header")) == [("h2",)]
     assert rows(extract.recovery(spark.createDataFrame([], "lean string"))) == [(0, 0, 0.0)]
+    parts = "name string, header string, informal_prefix string, formal_statement string"
+    theorems = spark.createDataFrame([("a", "open X", "", "theorem a : p := by"), ("b", None, None, "theorem b : q := by"), ("a", "open Y", None, "theorem a : r := by")], parts).coalesce(1)
+    attempts = spark.createDataFrame([("a", "attempt_1", "```lean4\n  simp\n```"), ("b", "attempt_1", None), ("c", "attempt_1", "x")], "theorem string, attempt_key string, raw string")
+    got = extract.re_extract(attempts, theorems).select("theorem", "lean")
+    assert rows(got) == [("a", "open Y\ntheorem a : r := by\nsimp"), ("b", "")]
+
+
+def test_stored_again(spark, tmp_path, theorems):
+    """Re-extraction from a stored document keeps the older texts as a backup; status counts done-sets; readiness of a model's folder."""
+    out, model = str(tmp_path), "kimina-prover-rl-1.7b"
+    with pytest.raises(FileNotFoundError):
+        stores.re_extract_file(spark, out, model, theorems)
+    found = spark.createDataFrame([("a", "attempt_1", "```lean4\n  simp\n```", "older"), ("a", "attempt_2", "sorry", "older")], "theorem string, attempt_key string, raw string, lean string")
+    assert stores.write_documents(found, out, model) == {"raw": 0.0, "lean": 0.0}
+    assert rows(stores.re_extract_file(spark, out, model, theorems)) == [(2, 1, 50.0)]
+    texts = lambda path: rows(stores.read_document(spark, f"{out}/lean_code/{path}", model, leaves="empty").select("value"))
+    assert texts(model + ".bak") == [("older",), ("older",)] and [bool(r[0]) for r in texts(model)] == [False, True]
+    stores.re_extract_file(spark, out, model, theorems)
+    assert texts(model + ".bak") == texts(model)
+    stores.DoneSet(spark, f"{out}/checkpoints", model).mark(theorems, 0)
+    counts = dict((r["name"], r["total_done"]) for r in stores.status(spark, f"{out}/checkpoints", registry.models(spark)).collect())
+    assert len(counts) == 6 and counts.pop(model) == 2 and set(counts.values()) == {0}
+    folder = tmp_path / "m"
+    folder.mkdir()
+    assert not stores.ready(spark, str(folder)) and not stores.ready(spark, f"{folder}/none")
+    (folder / "config.json").write_text("{}")
+    assert not stores.ready(spark, str(folder))
+    (folder / "x.safetensors").write_text("")
+    assert stores.ready(spark, str(folder))
+
+
+def test_places(spark):
+    df = spark.createDataFrame([(k, f"name_{k}") for k in range(30)] + [(30, "name_3"), (31, ""), (32, None)], "k int, name string")
+    assert rows(results.skip(df, 5, "k").select("k")) == [(k,) for k in range(5, 33)]
+    assert results.skip(df, 40, "k").isEmpty() and results.skip(df, 0, "k").count() == 33 and results.skip(df.limit(0), 3, "k").isEmpty()
+    names = sorted({r["name"] for r in df.collect() if r["name"] is not None})
+    for lead in (0, 3, 6, 8):
+        assert rows(results.numbered(df.dropna(), "name", lead)) == [(x, k + 1) for k, x in enumerate(names)]
+
+
+def test_without_llm(tmp_path):
+    """The entry imports and its own queries run without the subpackage, with and without the pipeline's file."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/lodestone", tmp_path / "lodestone", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    say = "import __spark_entry__ as e; assert set(e.queries()) == set(e.oracle_sql()) and 're_extract' in e.queries() and not any(q.startswith('op') and q[2].isdigit() or q == 'pipeline' for q in e.queries())"
+    for extra in ("corpus_pipeline.py", "lodestone/llm/__pycache__"):
+        subprocess.run([sys.executable, "-c", say], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+        if extra.endswith(".py") and os.path.exists(f"{root}/{extra}"):
+            shutil.copy(f"{root}/{extra}", tmp_path)
+        else:
+            os.makedirs(tmp_path / extra, exist_ok=True)
+    subprocess.run([sys.executable, "-c", say], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
 
 
 def test_generate(spark, tmp_path, theorems):
@@ -168,10 +228,11 @@ def test_oracle(spark):
 
 
 def test_whole_texts(spark, tmp_path):
-    """The _whole queries read what stands after the first 400 characters, as their SQL does."""
+    """The queries read texts to their end, as their SQL does."""
     import duckdb
     import spec
 
+    from lodestone.plans import fixtures
     from lodestone.plans import queries as q
 
     fence = "```"
@@ -181,12 +242,12 @@ def test_whole_texts(spark, tmp_path):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
-    raw = {(r["theorem"], r["attempt_key"]): r["raw"] for r in q.view(spark, str(tmp_path), "whole_attempts").collect()}
+    raw = {(r["theorem"], r["attempt_key"]): r["raw"] for r in fixtures.view(spark, str(tmp_path), "attempts").collect()}
     assert sum(text(k) in x for k, x in enumerate(raw[f"item_{k % 40}", f"attempt_{k // 40 + 1}"] for k in range(96))) == 6 * 6
     for name, op in (("strip_think", spec.think), ("strip_comments", spec.comments), ("best_fence", spec.fence)):
-        got = {(r[0], r[1]): r[2] for r in q.QUERIES[f"{name}_whole"](spark, str(tmp_path)).collect()}
+        got = {(r[0], r[1]): r[2] for r in q.QUERIES[name](spark, str(tmp_path)).collect()}
         assert got == {k: op(x) for k, x in raw.items()}
-    for name in ("re_extract_whole", "merge_outer_whole", "nest_whole", "output_sizes_whole", "byte_decode_whole"):
+    for name in ("re_extract", "merge_outer", "nest", "output_sizes", "byte_decode"):
         mine = q.QUERIES[name](spark, str(tmp_path))
         columns = sorted(mine.columns)
         other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
@@ -210,12 +271,12 @@ def test_whole_ids(spark):
     n = spark.read.parquet(f"{where}/documents.parquet").count()
     names = spark.read.parquet(f"{where}/benchmark.parquet").count()
     found = {}
-    for name in ("upsert_whole", "unnest_whole", "pending_whole", "status_whole", "sorted_names_whole"):
+    for name in ("upsert", "unnest", "pending", "status", "sorted_names"):
         mine = q.QUERIES[name](spark, where)
         columns = sorted(mine.columns)
         found[name] = sorted(map(repr, map(tuple, mine.select(*columns).collect())))
         other = con.sql(f"SELECT {', '.join(columns)} FROM ({q.ORACLE[name]})").fetchall()
         assert found[name] == sorted(map(repr, other)), name
-    assert len(found["upsert_whole"]) == len(found["unnest_whole"]) == n
-    done = len(found["sorted_names_whole"])
-    assert 0 < done < names and len(found["pending_whole"]) == names - done
+    assert len(found["upsert"]) == len(found["unnest"]) == n
+    done = len(found["sorted_names"])
+    assert 0 < done < names and len(found["pending"]) == names - done

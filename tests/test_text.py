@@ -104,13 +104,34 @@ def test_decode_gate(spark):
     "proof, want",
     [
         ("", ""),
-        ("import Mathlib\ntheorem foo : 1 = 1 := by\n  rfl", "import Mathlib\ntheorem foo : 1 = 1 := by\n  rfl"),
-        ("theorem foo : 1 = 1 := by\n  rfl", "import Mathlib\ntheorem foo : 1 = 1 := by\n  rfl"),
-        ("  norm_num", "import Mathlib\ntheorem foo : 1 = 1 := by\n  norm_num"),
-        ("  sorry", ""),
-        ("  /- comment -/", ""),
-        ("theorem q : 1 = 1 :=by rfl", ""),
+        ("import Init\nlemma l : p := by simp", "import Init\nlemma l : p := by simp"),
+        ("lemma l : p := by simp", "open Nat\nlemma l : p := by simp"),
+        ("  linarith [h]", "open Nat\nlemma s (h : p) : q := by\n  linarith [h]"),
+        ("  exact sorry", ""),
+        ("  /- todo /- later -/ -/", ""),
+        ("lemma l : p :=by simp", ""),
     ],
 )
 def test_assemble(spark, proof, want):
-    assert one(spark, ex.assemble, "import Mathlib", "", "theorem foo : 1 = 1 := by", proof) == want
+    assert one(spark, ex.assemble, "open Nat", "", "lemma s (h : p) : q := by", proof) == want
+
+
+def test_long_texts(spark):
+    """Comments and padding nested deeply and very many of them, in time in proportion to the text."""
+    import time
+
+    deep = "a" + "/-" * 3000 + " x " + "-/" * 3000 + "b"
+    assert one(spark, t.strip_comments, deep) == "ab" == spec.comments(deep)
+    took = []
+    for n in (4000, 40000):
+        text = "".join(f"/- c{k} -/ d-e/f " for k in range(n))
+        began = time.time()
+        assert one(spark, t.strip_comments, text) == spec.comments(text)
+        took.append(time.time() - began)
+    assert took[1] < 40 * max(took[0], 0.3)
+    padded = "[PAD]" * 20000 + "x" + "[P" * 30 + "[PAD]" + "AD]" * 30 + "</s>y"
+    assert one(spark, t.scrub, padded) == "xy"
+    from lodestone.functions.text import byte_characters
+
+    of = {b: c for c, b in byte_characters().items()}
+    assert one(spark, t.byte_decode, "".join(of[b] for b in "é中\n\x7f ok".encode()) + "中") == "é中\n\x7f ok中"
