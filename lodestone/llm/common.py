@@ -5,10 +5,8 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
-import gc
 import shutil
 import tempfile
-import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -209,10 +207,3 @@ def spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(edge)
     keep = is_word[at[:-1]]
     return at[:-1][keep], at[1:][keep]
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    time.sleep(0.3)  # the gateway drops its references in the background
-    spark.sparkContext._jvm.System.gc()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -15,11 +15,12 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and component (the least node) of every node in the links a-b.
+    """node and component (the least node) of every node in the links a-b, as a written table.
 
     Links may come in any direction and more than once. Each step is a
     pre-aggregated minimum and a join, written to the shared folder, so neither
-    a hub nor a lost executor needs more than a task's share.
+    a hub nor a lost executor needs more than a task's share; a step's tables go
+    when the next one stands.
     """
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _state(edges)
@@ -30,9 +31,14 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(large.where("a <> b").distinct(), "links")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        edges = written(small.where("a <> b").distinct(), "links")
+        small = written(small.where("a <> b").distinct(), "links")
+        dropped(edges, large)
+        edges = small
         after = _state(edges)
         if after == before:
             break
         before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    found = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    found = written(found, "components")
+    dropped(edges)
+    return found

@@ -6,8 +6,8 @@ the text, which tells rows that share an id apart; a line goes when an earlier o
 a Jaccard similarity of THRESHOLD or more with it, whether that one stays or
 not. Lines without words always stay.
 
-1. Words are counted over all texts by the first 16 bits of their hashes; the
-   ranks of these 65,536 counters order the words of a line, rare ones first.
+1. Words are counted over all texts by the first BITS bits of their hashes; the
+   ranks of these counters order the words of a line, rare ones first.
    The order key is a bijection of the hash, so it loses nothing.
 2. Equal sets collapse to their first line, after which only first lines are
    compared. The prefix filter keeps the rarest words of each.
@@ -20,8 +20,10 @@ not. Lines without words always stay.
    entries. Pairs are verified on the whole sets.
 
 Null text stays null, and an empty one empty. Rows with the same doc_id and text
-share their lines' positions, so their lines never remove each other. Null ids
-come first.
+share their lines' positions, so their lines never remove each other; rows that
+share only the id are rows of their own. Null ids come first. Very long texts
+only have more lines, and an empty table gives an empty one. Columns with the
+names of the output columns are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -30,13 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import release, written
+from .common import dropped, written
 from .fingerprint import let
 
 #: Similarity in hundredths from which the later line goes.
 THRESHOLD = 80
-#: Counters that order words.
-COUNTERS = 1 << 16
+#: Counters that order words: 2 to the BITS, a fixed number.
+BITS = 16
 
 
 def row_of(text: Column) -> Column:
@@ -49,10 +51,10 @@ def lines_of(text: Column) -> Column:
 
 
 def order_key(word: Column, rank: Column) -> Column:
-    """A bijection of the word's hash: the rank of its first 16 bits, then the other 48."""
+    """A bijection of the word's hash: the rank of its first BITS bits, then the others."""
     h = F.xxhash64(word)
-    first = F.coalesce(F.get(rank, F.shiftrightunsigned(h, 48).cast("int")), F.lit(0))  # never null, so arrays of keys sort as numbers
-    return F.shiftleft(first, 48).bitwiseOR(h.bitwiseAND(F.lit((1 << 48) - 1)))
+    first = F.coalesce(F.get(rank, F.shiftrightunsigned(h, 64 - BITS).cast("int")), F.lit(0))  # never null, so arrays of keys sort as numbers
+    return F.shiftleft(first, 64 - BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << 64 - BITS) - 1)))
 
 
 def words_of(line: Column, rank: Column) -> Column:
@@ -64,13 +66,14 @@ def words_of(line: Column, rank: Column) -> Column:
 def ranks(docs: DataFrame) -> Column:
     """The rank of each counter of words over all texts, rarest first, as one literal array."""
     words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 48).alias("c")).agg(F.count("*").alias("n")).collect()
-    n = [0] * COUNTERS
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - BITS).alias("c")).agg(F.count("*").alias("n")).collect()
+    size = 1 << BITS
+    n = [0] * size
     for r in counts:
         n[r["c"]] = r["n"]
-    rank = [0] * COUNTERS
-    for k, c in enumerate(sorted(range(COUNTERS), key=lambda c: (n[c], c))):
-        rank[c] = k - COUNTERS // 2
+    rank = [0] * size
+    for k, c in enumerate(sorted(range(size), key=lambda c: (n[c], c))):
+        rank[c] = k - size // 2
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<bigint>")
 
 
@@ -95,51 +98,60 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The later lines (key) of the pairs a (later), b that are similar."""
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("h").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select(F.col("a").alias("key")).distinct()
+    return both.where(let(common, lambda c: 100 * c >= percent * (F.size("x") + F.size("y") - c))).select(F.col("a").alias("key")).distinct()
+
+
+def words_by_line(docs: DataFrame, rank: Column) -> DataFrame:
+    """doc_id, row, line and k (words_of) of each line with words; docs: doc_id, row and text."""
+    lines = docs.select("doc_id", "row", F.posexplode(lines_of(F.col("text"))).alias("line", "value"))
+    # a filter on the number of words, instead, would make the words twice
+    return lines.where(F.trim("value") != "").select("doc_id", "row", "line", words_of(F.col("value"), rank).alias("k"))
 
 
 def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
-    """doc_id, row and gone, the array of line numbers to remove."""
+    """doc_id, row and gone, the array of line numbers to remove, as a written table."""
     docs = docs.select("doc_id", row_of(F.col("text")).alias("row"), "text").where("text is not null")
     rank = ranks(docs)
-    lines = docs.select("doc_id", "row", F.posexplode(lines_of(F.col("text"))).alias("line", "value"))
-    lines = lines.select("doc_id", "row", "line", words_of(F.col("value"), rank).alias("k"))
     n = F.size("k")
     least = n - F.ceil(F.lit(percent) * n / F.lit(100)).cast("int") + 1
-    lines = lines.where(n > 0).select("doc_id", "row", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
+    lines = words_by_line(docs, rank).select("doc_id", "row", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
     lines = written(lines, "lines")
     at = F.struct("doc_id", "row", "line")
-    classes = lines.groupBy("key").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
+    classes = lines.groupBy("key").agg(F.min("n").alias("n"), F.min("sig").alias("sig"), F.first("prefix").alias("prefix"), F.min(at).alias("at"), F.count("*").alias("copies"))
+    classes = written(classes, "classes")
+    members = written(lines.select("doc_id", "row", "line", "key"), "members")
+    dropped(lines)
     entries = classes.select("key", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
     x, y = entries.alias("x"), entries.alias("y")
     some = (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & plausible(of("x"), of("y"), percent)
-    near = written(x.join(y, some, "left_semi"), "near")
-    release(docs.sparkSession)
-    first_of = written(lines.groupBy("key").agg(F.min(at).alias("at")), "firsts")
-    near = written(near.join(first_of, "key"), "near")
-    release(docs.sparkSession)
-
-    need = near.select("key", "at.doc_id", "at.row", "at.line").distinct()
-    wanted = need.groupBy("doc_id", "row").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))  # at most the lines of a document
+    candidates = written(x.join(y, some, "left_semi"), "candidates")
+    firsts = written(classes.select("key", "at", "copies"), "firsts")
+    dropped(classes)
+    near = written(candidates.join(firsts.select("key", "at"), "key"), "near")
+    dropped(candidates)
+
+    wanted = near.groupBy("at.doc_id", "at.row").agg(F.collect_set(F.struct("key", "at.line")).alias("wanted"))  # at most the lines of a document
     same_row = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.row") == F.col("w.row"))
     sets = docs.alias("d").join(wanted.alias("w"), same_row).select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
     sets = written(sets.select(F.explode("s").alias("s")).select("s.key", "s.h").dropDuplicates(["key"]), "words")
-    release(docs.sparkSession)
 
     first = near.withColumn("first", F.min(F.struct("at", "key", "n", "pos", "sig")).over(Window.partitionBy("token")))
-    pairs = first.where((F.col("first.key") != F.col("key")) & plausible(F.col, of("first"), percent)).select(F.col("key").alias("a"), F.col("first.key").alias("b"))
-    decided = written(verified(pairs.distinct(), sets, percent), "decided")
+    stars = first.where((F.col("first.key") != F.col("key")) & plausible(F.col, of("first"), percent)).select(F.col("key").alias("a"), F.col("first.key").alias("b"))
+    stars = written(stars.distinct(), "stars")
+    decided = written(verified(stars, sets, percent), "decided")
     open_ = near.join(decided, "key", "left_anti").alias("x")
-    other = near.alias("y")
-    rest = open_.join(other, (F.col("x.token") == F.col("y.token")) & (F.col("y.at") < F.col("x.at")) & plausible(of("x"), of("y"), percent))
-    rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
-    similar = decided.unionByName(verified(rest, sets, percent))
-
-    release(docs.sparkSession)
-    # every line but the first of each set, and the first of those similar to an earlier one
-    firsts = first_of.join(similar.withColumn("similar", F.lit(True)), "key", "left")
-    gone = lines.select("doc_id", "row", "line", "key").join(firsts, "key").where((at != F.col("at")) | F.col("similar"))
-    return gone.groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"))
+    rest = open_.join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.at") < F.col("x.at")) & plausible(of("x"), of("y"), percent))
+    rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    similar = decided.unionByName(verified(rest, sets, percent)).withColumn("similar", F.lit(True))
+
+    # the first lines of sets similar to an earlier one, and every line but the first of each set
+    found = written(firsts.join(similar, "key", "left").where("similar or copies > 1"), "found")
+    dropped(near, sets, stars, decided, firsts)
+    copies = members.join(found.where("copies > 1").select("key", F.col("at").alias("first")), "key").where(at != F.col("first"))
+    gone = found.where("similar").select("at.*").unionByName(copies.select("doc_id", "row", "line"))
+    gone = written(gone.groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone")), "gone")
+    dropped(members, found)
+    return gone
 
 
 def dedup(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:

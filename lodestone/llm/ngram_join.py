@@ -7,20 +7,28 @@ components. The steps:
 1. Count shingles in a sketch of fixed size over all texts; it fixes the global
    order of tokens, rare ones first. Keep of each distinct set the prefix that
    any linked set must meet (the prefix filter), with positions.
-2. Of the tokens that several sets share, compare each set with the first
-   LEADERS ones in which the token comes earliest. The verified links give groups of similar
-   documents, in a number of pairs that is linear in the tokens.
-3. Token-group matrix: for each token the groups whose union holds it, with the
-   ranges of sizes, the least position and the parity bits that all members have
-   alike. A query's overlap with a group is bounded from these; only groups that
-   can hold a linked set of another group are opened, and the members that share
-   the token are compared.
+2. Partition similar sets into groups: of the tokens that several sets share,
+   compare each set with the first LEADERS ones in which the token comes
+   earliest. The components of the verified links are the groups, found in a
+   number of pairs that is linear in the tokens.
+3. Token-group matrix: the union of each group's tokens, one row for each token
+   and group, with the range of the members' sizes, the least position and the
+   parity bits that all members with the token have alike. A query's overlap with
+   a group is the sum over its tokens of the group's rows; a group is opened
+   where that sum, sizes, positions and parities leave room for a link, and of an
+   opened group the members that share a token are compared.
 4. Components over all verified links.
 
 Step 3 leaves out only pairs within one group, whose link cannot change a
-component, so no link between groups is lost. Equal sets are one node. Null or
-wordless texts have no shingles and are linked with nothing, not even with each
-other. Repeated ids count as one document that has each of their texts.
+component, so no link between groups is lost. Equal sets are one node.
+
+Null or wordless texts have no shingles and are linked with nothing, not even
+with each other; their component is their own id. Rows that share an id are one
+document that has each of their texts, so they are linked with each other. Rows
+with a null id are documents of their own; the least id of a component leaves
+nulls out, so it is null only where all of them are. Very long texts are one
+row of their own. An empty table gives an empty one, and columns other than
+doc_id and text are left out.
 """
 
 from __future__ import annotations
@@ -32,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import LOWER, mix, release, ship, slices, span_hashes, spans, utf8, written
+from .common import LOWER, dropped, mix, ship, slices, span_hashes, spans, tidy, utf8, written
 from .graph import components
 
 #: Counters of the sketch that orders tokens: a fixed 4 MB.
@@ -108,14 +116,14 @@ def frequencies(docs: DataFrame, n: int, text: str = "text") -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.int32).tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
 
     out = np.zeros(COUNTERS, np.int32)
-    for r in docs.select(text).mapInArrow(count, part).repartition("chunk").mapInArrow(add, part).collect():
+    for r in docs.select(text).mapInArrow(tidy(count), part).repartition("chunk").mapInArrow(add, part).collect():
         out[r["chunk"] * _CHUNK : (r["chunk"] + 1) * _CHUNK] = np.frombuffer(r["counts"], np.int32)
     return out
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), key (of the set) and prefix (tokens in order) of each text."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n", T.LongType(), False), T.StructField("key", T.LongType(), False), T.StructField("parity", T.BinaryType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
+    """doc_id, row, n (set size), key (of the set) and prefix (tokens in order) of each text; docs: doc_id, row and text."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("row", T.LongType()), T.StructField("n", T.LongType(), False), T.StructField("key", T.LongType(), False), T.StructField("parity", T.BinaryType(), False), T.StructField("prefix", T.ArrayType(T.LongType(), False), False)])
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -132,9 +140,9 @@ def prefixes(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
                 kept.append(x[np.lexsort((x, c))[:p]].astype(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary()), lists], schema.names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary()), lists], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "row", "text").mapInArrow(tidy(run), schema)
 
 
 def may_link(n: Column, i: Column, m: Column, j: Column, percent: int) -> Column:
@@ -148,20 +156,44 @@ def at_most(n: Column, m: Column, percent: int) -> Column:
     return n + m - 2 * F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
 
 
-def may_hold(n: Column, i: Column, low: Column, high: Column, first: Column, unlike: Column, percent: int) -> Column:
-    """Whether a group can hold a set that links with one of n shingles, which has the shared token at position i.
+def sizes_in(n: Column, low: Column, high: Column, percent: int) -> tuple[Column, Column]:
+    """The least and the largest size from low to high that can link with n."""
+    return F.greatest(low, F.ceil(percent * n / F.lit(100))), F.least(high, F.floor(100 * n / F.lit(percent)))
 
-    The group's sizes are from low to high, its least position of the token is
-    first, and all its members differ from the set in unlike bits at least. What
-    follows i is the easier to match the smaller a member is, and what follows
-    first the larger it is.
+
+def may_share(n: Column, low: Column, high: Column, unlike: Column, percent: int) -> Column:
+    """Whether one of a group's members with a token can link with a set of n shingles that has the token, too.
+
+    The members' sizes are from low to high, and all of them differ from the set
+    in unlike bits at least. It holds for every token that a linked pair shares.
     """
-    least = F.greatest(low, F.ceil(percent * n / F.lit(100)))
-    most = F.least(high, F.floor(100 * n / F.lit(percent)))
+    least, most = sizes_in(n, low, high, percent)
     # at_most falls by one at some sizes, but never at two in a row
     differ = F.greatest(at_most(n, most, percent), at_most(n, F.greatest(most - 1, least), percent))
-    ends = ((100 + percent) * (n - i) >= percent * (n + least)) & ((100 + percent) * (most - first) >= percent * (n + most))
-    return (least <= most) & ends & (unlike <= differ)
+    return (least <= most) & (unlike <= differ)
+
+
+def may_begin(n: Column, i: Column, low: Column, high: Column, first: Column, percent: int) -> Column:
+    """Whether a linked pair's first common token can be one at position i of the set and at first or later in the members.
+
+    What follows i is the easier to match the smaller a member is, and what
+    follows first the larger it is.
+    """
+    least, most = sizes_in(n, low, high, percent)
+    return ((100 + percent) * (n - i) >= percent * (n + least)) & ((100 + percent) * (most - first) >= percent * (n + most))
+
+
+def least_overlap(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """How many prefix tokens a set of n shingles shares at least with one of low to high shingles that it links with.
+
+    Up to where the shorter-reaching of two prefixes ends, all common tokens are in both
+    prefixes; behind it there are no more than that set has outside its prefix,
+    ceil(percent * size / 100) - 1.
+    """
+    least, most = sizes_in(n, low, high, percent)
+    smaller = F.ceil(percent * (n + least) / F.lit(100 + percent)) - F.ceil(percent * n / F.lit(100)) + 1
+    larger = F.ceil(percent * (n + most) / F.lit(100.0 + percent) - percent * most / F.lit(100.0) - 1e-6)
+    return F.greatest(F.lit(1), F.least(smaller, larger))
 
 
 def apart(x: str, y: str) -> Column:
@@ -176,13 +208,14 @@ def fits(x: str, y: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of the pairs a, b (keys) those that link; sets: key, rep, n and parity of each set.
+    """Of the pairs a, b (keys) those that link, as a written table; sets: key, rep (id and row), n and parity of each set.
 
     The parity of a set's hash bits differs in no more of BITS bits than two sets
     differ in shingles, so it rules out nearly all pairs that do not link before
     any text is fetched. The others are compared on their whole sets.
     """
     side = lambda k: sets.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
+    pairs = written(pairs, "pairs")
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -194,21 +227,20 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent
             keep = np.bitwise_count(x ^ y).sum(1) <= total - 2 * least
             yield b.filter(pa.array(keep)).select(["a", "b"])
 
-    near = written(near.mapInArrow(may, schema), "near")
-    release(docs.sparkSession)
+    near = written(near.mapInArrow(tidy(may), schema), "near")
+    dropped(pairs)
     keys = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    reps = sets.select("key", F.col("rep").alias("doc_id")).join(keys, "key")
-    texts = docs.join(reps, "doc_id")
+    reps = sets.select("key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.row").alias("rep_row")).join(keys, "key")
+    texts = docs.join(reps, docs["doc_id"].eqNullSafe(F.col("rep_id")) & (docs["row"] == F.col("rep_row")))
     whole = T.StructType([T.StructField("key", T.LongType()), T.StructField("hashes", T.BinaryType(), False)])
 
     def hashes(batches):
         for b in slices(batches, "text", SLICE):
-            # a repeated id may have rows of other texts; the one with the key counts
-            own = [(k, x.tobytes()) for k, x in zip(b.column("key").to_pylist(), shingle_sets(b.column("text"), n)) if len(x) and set_key(x) == k]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int64()), pa.array([x for _, x in own], pa.binary())], whole.names)
+            own = [x.tobytes() for x in shingle_sets(b.column("text"), n)]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(own, pa.binary())], whole.names)
 
-    found = written(texts.select("key", "text").mapInArrow(hashes, whole), "shingles")
-    release(docs.sparkSession)
+    # rows that share id and text give a set each; one of them stays
+    found = written(texts.select("key", "text").mapInArrow(tidy(hashes), whole).dropDuplicates(["key"]), "shingles")
     both = near.join(found.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(found.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
 
     def run(batches):
@@ -220,60 +252,78 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, schema).distinct()
+    out = written(both.select("a", "b", "x", "y").mapInArrow(tidy(run), schema), "links")
+    dropped(near, found)
+    return out
+
+
+def shared_by(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows whose key stands in several of them. The keys are written first, so that a join may split a frequent one's rows."""
+    several = written(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), name)
+    return rows.join(several, key, "left_semi")
 
 
 def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
     ship(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
     rows = written(prefixes(docs, frequencies(docs, n), n, percent), "sets")
-    # one document of each set; only its columns that a step needs are read and sent
-    sets = written(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix")), "classes")
-    release(docs.sparkSession)
-    entries = sets.select("key", "n", F.posexplode("prefix").alias("pos", "token"))
-    by_size = Window.partitionBy("token").orderBy("n", "key")
-    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
-    # only tokens that a set of fitting size shares
-    entries = written(entries.withColumn("near", near).where("near").drop("near"), "entries")
-    release(docs.sparkSession)
-
-    folded = sets.select("key", *[F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"w{k}") for k in range(BITS // 64)])
-    words = [folded[f"w{k}"] for k in range(BITS // 64)]
-    fold = lambda k: words[k].bitwiseXOR(words[k + 4]).bitwiseXOR(words[k + 8]).bitwiseXOR(words[k + 12])
-    entries = written(entries.join(folded.select("key", *[fold(k).alias(f"s{k}") for k in range(WORDS)]), "key"), "entries")
-    release(docs.sparkSession)
+    # one row of each set; only its columns that a step needs are read and sent
+    sets = rows.where("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    sets = written(sets, "classes")
+    folded = sets.withColumns({f"w{k}": F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(BITS // 64)})
+    fold = lambda k: F.col(f"w{k}").bitwiseXOR(F.col(f"w{k + 4}")).bitwiseXOR(F.col(f"w{k + 8}")).bitwiseXOR(F.col(f"w{k + 12}"))
+    folds = [f"s{k}" for k in range(WORDS)]
+    folded = folded.select("key", *[fold(k).alias(f"s{k}") for k in range(WORDS)])
+    tokens = written(shared_by(sets.select("key", "n", F.posexplode("prefix").alias("pos", "token")), "token", "tokens"), "entries")
+    entries = written(tokens.join(folded, "key"), "entries")
+    dropped(tokens)
 
     rank = F.row_number().over(Window.partitionBy("token").orderBy("pos", "key"))
-    leaders = entries.withColumn("rank", rank).where(F.col("rank") <= LEADERS).drop("rank")
+    leaders = written(entries.withColumn("rank", rank).where(F.col("rank") <= LEADERS).drop("rank"), "leaders")
     stars = entries.alias("x").join(leaders.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & fits("x", "y", percent))
     stars = stars.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-    links = written(verified(stars, sets, docs, n, percent), "links")
-    groups = written(components(links), "groups")
+    links = verified(stars, sets, docs, n, percent)
+    dropped(leaders)
+    groups = components(links)
 
     member = entries.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key")).drop("component")
     member = written(member, "members")
+    dropped(entries, groups)
     common = [f(f"s{k}").alias(f"{name}{k}") for k in range(WORDS) for name, f in (("every", F.bit_and), ("any", F.bit_or))]
-    matrix = member.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"), *common)
-    shared = matrix.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where("groups > 1").drop("groups")
-    shared = written(shared, "matrix")
-    query = member.join(shared.select("token", "group"), ["token", "group"], "left_semi")
-    q, g = query.alias("q"), shared.alias("g")
+    union = written(member.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"), *common), "union")
+    matrix = written(shared_by(union, "token", "tokens"), "matrix")
+    dropped(union)
+    query = written(member.join(matrix.select("token", "group"), ["token", "group"], "left_semi"), "queries")
+    dropped(member)
+    q, g = query.alias("q"), matrix.alias("g")
     # bits that all members have alike and the query otherwise
     unlike = sum(
         F.bit_count(F.col(f"q.s{k}").bitwiseXOR(F.col(f"g.every{k}")).bitwiseAND(F.col(f"g.every{k}").bitwiseOR(F.bitwise_not(F.col(f"g.any{k}")))))
         for k in range(WORDS)
     )
-    bound = may_hold(F.col("q.n"), F.col("q.pos"), F.col("g.low"), F.col("g.high"), F.col("g.first"), unlike, percent)
-    opened = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & bound)
-    opened = opened.select("q.token", "q.key", "q.n", "q.pos", *[f"q.s{k}" for k in range(WORDS)], F.col("g.group").alias("group"))
-    pairs = opened.alias("x").join(query.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.group") == F.col("y.group")) & fits("x", "y", percent))
+    size, low, high = F.col("q.n"), F.col("g.low"), F.col("g.high")
+    met = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & may_share(size, low, high, unlike, percent))
+    begins = may_begin(size, F.col("q.pos"), low, high, F.col("g.first"), percent)
+    met = written(met.select("q.token", "q.key", "q.n", "q.pos", *[f"q.{c}" for c in folds], F.col("g.group").alias("group"), "g.low", "g.high", begins.alias("begins")), "met")
+    overlap = met.groupBy("key", "group").agg(F.count("*").alias("overlap"), F.max("begins").alias("begins"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    opened = overlap.where(F.col("begins") & (F.col("overlap") >= least_overlap(F.col("n"), F.col("low"), F.col("high"), percent)))
+    opened = written(opened.select("key", "group"), "opened")
+    tries = met.where("begins").join(opened, ["key", "group"], "left_semi")
+    pairs = tries.alias("x").join(query.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.group") == F.col("y.group")) & fits("x", "y", percent))
     pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    more = written(verified(pairs, sets, docs, n, percent), "links")
-    found = components(links.unionByName(more))
-
-    ids = sets.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = ids.join(least, "component").select("key", "component_id")
+    more = verified(pairs, sets, docs, n, percent)
+    dropped(met, opened, query, matrix)
+
+    # rows that share an id
+    several = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a <> last")
+    same_id = rows.where("n > 0").join(several.select("doc_id", "a"), "doc_id").select("a", F.col("key").alias("b"))
+    found = components(links.unionByName(more).unionByName(same_id))
+    dropped(links, more)
+
+    ids = sets.select("key", "least").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = ids.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = written(ids.join(least, "component").select("key", "component_id"), "named")
+    dropped(found, sets)
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key")).join(named, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -14,11 +14,15 @@ The samples are the positions whose residue modulo V lies in a difference cover,
 so for any two suffixes some offset below V leads both to samples, whose ranks
 decide. Ranks of samples come from prefix doubling in steps of V over the
 samples only, so memory is bounded by the group's bytes. In that order equal
-windows are neighbours. A bucket with very many classes is split by the distance
-of window and anchor, which is the same in equal windows.
+windows are neighbours. A bucket with very many classes is split by the distance of window
+and anchor, which is the same in equal windows, and one with still more by a hash
+of the windows, too.
 
 Null text counts as empty and keeps nothing; texts shorter than LENGTH are
-never touched. Repeated rows (same id and text) are repeats of each other.
+never touched, and very long ones are hashed in pieces that overlap. Repeated
+rows (same id and text) are repeats of each other; rows that share only the id,
+and rows with null ids, are documents of their own. An empty table gives an
+empty one, and columns other than doc_id and text are left out.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE64, mix, powers, release, ship, slices, utf8, written
+from .common import BYTE64, dropped, mix, powers, ship, slices, tidy, utf8, written
 
 #: Bytes of a string that must not start twice.
 LENGTH = 400
@@ -41,7 +45,7 @@ GRAM = 128
 V = 32
 #: Bytes of contexts sorted together, about; and the longest piece of a document hashed at once.
 GROUP_BYTES = 4 << 20
-PIECE = 8 << 20
+PIECE = 1 << 20
 
 
 def difference_cover(v: int) -> np.ndarray:
@@ -114,7 +118,7 @@ def suffix_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 if len(doc):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket.view(np.int64), content.view(np.int64), own[doc], lo - base, hi - base, a - base)], ROWS.names)
 
-    return docs.select("row", "text").mapInArrow(run, ROWS)
+    return docs.select("row", "text").mapInArrow(tidy(run), ROWS)
 
 
 def dense(*keys: np.ndarray) -> np.ndarray:
@@ -204,12 +208,12 @@ def sort_buckets(contexts: DataFrame, length: int) -> DataFrame:
 
     def flush(rows: list[tuple]):
         ids: dict[tuple, int] = {}
-        groups = np.array([ids.setdefault((r[0], r[1]), len(ids)) for r in rows], np.int64)
+        groups = np.array([ids.setdefault(r[:3], len(ids)) for r in rows], np.int64)
         out = []
-        for r, again in zip(rows, repeated_windows([r[4] for r in rows], groups, length)):
+        for r, again in zip(rows, repeated_windows([r[5] for r in rows], groups, length)):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
             if len(edge):
-                out.append((r[0], r[2], r[3], [{"lo": s, "hi": e - 1} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]))
+                out.append((r[0], r[3], r[4], [{"lo": s, "hi": e - 1} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))))], FOUND.names)
 
@@ -217,50 +221,58 @@ def sort_buckets(contexts: DataFrame, length: int) -> DataFrame:
         rows, total, last = [], 0, None
         for batch in batches:
             for b in slices(iter([batch]), "bytes", 1 << 20):
-                for r in zip(*[b.column(c).to_pylist() for c in ("bucket", "part", "content", "from", "bytes")]):
-                    if total >= GROUP_BYTES and (r[0], r[1]) != last:
+                for r in zip(*[b.column(c).to_pylist() for c in ("bucket", "part", "sub", "content", "from", "bytes")]):
+                    if total >= GROUP_BYTES and r[:3] != last:
                         yield from flush(rows)
                         rows, total = [], 0
                     rows.append(r)
-                    total += len(r[4])
-                    last = (r[0], r[1])
+                    total += len(r[5])
+                    last = r[:3]
         if rows:
             yield from flush(rows)
 
-    dealt = contexts.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return dealt.select("bucket", "part", "content", "from", "bytes").mapInArrow(run, FOUND)
+    dealt = contexts.repartition("bucket", "part", "sub").sortWithinPartitions("bucket", "part", "sub")
+    return dealt.select("bucket", "part", "sub", "content", "from", "bytes").mapInArrow(tidy(run), FOUND)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """row and windows, the array of ranges of repeated window starts; docs: row and text."""
-    spark = docs.sparkSession
-    table = written(suffix_rows(docs, length, gram), "suffixes")
-    shared = table.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
-    table = written(table.join(shared, "bucket", "left_semi"), "buckets")
-    release(spark)
+    """row and windows, the array of ranges of repeated window starts, as a written table; docs: row and text."""
+    every = written(suffix_rows(docs, length, gram), "suffixes")
+    # the buckets are written first, so that the join may split a frequent one's rows
+    shared = written(every.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1").select("bucket"), "shared")
+    table = written(every.join(shared, "bucket", "left_semi"), "buckets")
+    dropped(every, shared)
     classes = table.groupBy("bucket", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "lo", "hi", "anchor")).alias("one"))
     classes = written(classes, "classes")
     several = classes.groupBy("bucket").agg(F.count("*").alias("classes"), F.count_if(F.col("n") == 1).alias("single")).where("classes > 1 and single > 0")
     w = length - gram + 1
-    # buckets of more than a group's bytes are split by the distance of window and anchor
-    parts = F.greatest(F.lit(1), F.least(F.lit(w), F.ceil(F.col("classes") * (length + w // 2) / F.lit(4 * GROUP_BYTES)))).cast("int")
-    need = classes.join(several.withColumn("parts", parts), "bucket").select("bucket", "content", "n", "one.*", "parts")
+    # buckets of more than a group's bytes are split by the distance of window and anchor, and those of more than w groups by their windows, too
+    groups = F.ceil(F.col("classes") * (length + w // 2) / F.lit(GROUP_BYTES)).cast("int")
+    parts = F.greatest(F.lit(1), F.least(F.lit(w), groups))
+    subs = F.when(groups > w, F.ceil(F.col("classes") * length / F.lit(GROUP_BYTES)).cast("int")).otherwise(1)
+    several = written(several.select("bucket", parts.alias("parts"), subs.alias("subs")), "several")
+    need = classes.join(several, "bucket").select("bucket", "content", "n", "one.*", "parts", "subs")
     need = need.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     nearest, farthest = F.floor(F.col("part") * w / F.col("parts")), F.floor((F.col("part") + 1) * w / F.col("parts")) - 1
     need = need.withColumns({"from": F.greatest("lo", F.col("anchor") - farthest), "to": F.least("hi", F.col("anchor") - nearest)}).where("from <= to")
-    wanted = need.groupBy("row").agg(F.collect_list(F.struct("bucket", "part", "content", "lo", "from", "to")).alias("wanted"))  # at most the windows of a text
+    wanted = need.groupBy("row").agg(F.collect_list(F.struct("bucket", "part", "subs", "content", "lo", "from", "to")).alias("wanted"))  # at most the windows of a text
     one_each = docs.join(wanted, "row").select("row", F.col("text").cast("binary").alias("bytes"), "wanted").dropDuplicates(["row"])
-    contexts = one_each.select("bytes", F.explode("wanted").alias("c")).select("c.bucket", "c.part", "c.content", (F.col("c.from") - F.col("c.lo")).alias("from"), F.expr("substring(bytes, cast(c.from + 1 as int), cast(c.to - c.from as int) + " + str(length) + ")").alias("bytes"))
+    contexts = one_each.select("bytes", F.explode("wanted").alias("c")).select("c.bucket", "c.part", "c.subs", "c.content", (F.col("c.from") - F.col("c.lo")).alias("from"), F.expr("substring(bytes, cast(c.from + 1 as int), cast(c.to - c.from as int) + " + str(length) + ")").alias("bytes"))
+    contexts = contexts.withColumn("sub", F.when(F.col("subs") > 1, F.pmod(F.xxhash64("bytes"), "subs")).otherwise(F.lit(0).cast("long")))
     found = written(sort_buckets(contexts, length), "sorted")
-    release(spark)
+    dropped(several)
     moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("from")).alias("lo"), (r["hi"] + F.col("from")).alias("hi")))
-    found = found.select("bucket", "content", moved.alias("ranges")).groupBy("bucket", "content").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
-    verdict = classes.join(found, ["bucket", "content"], "left").where("n > 1 or ranges is not null").select("bucket", "content", F.col("n").alias("copies"), "ranges")
+    ranges = found.select("bucket", "content", moved.alias("ranges")).groupBy("bucket", "content").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    verdict = classes.join(ranges, ["bucket", "content"], "left").where("n > 1 or ranges is not null").select("bucket", "content", F.col("n").alias("copies"), "ranges")
+    verdict = written(verdict, "verdict")
+    dropped(classes, found)
     hits = table.join(verdict, ["bucket", "content"])
     whole = F.array(F.struct(F.col("lo"), F.col("hi")))
     moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("lo")).alias("lo"), (r["hi"] + F.col("lo")).alias("hi")))
     hits = hits.select("row", F.when(F.col("copies") > 1, whole).otherwise(moved).alias("ranges"))
-    return hits.groupBy("row").agg(F.flatten(F.collect_set("ranges")).alias("windows"))
+    windows = written(hits.groupBy("row").agg(F.flatten(F.collect_set("ranges")).alias("windows")), "windows")
+    dropped(table, verdict)
+    return windows
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -292,7 +304,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 kept.append(b"".join(raw[s:e] for s, e in zip(cuts[::2], cuts[1::2])))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())], schema.names)
 
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(tidy(run), schema)
 
 
 def digest(deduped: DataFrame) -> DataFrame:
