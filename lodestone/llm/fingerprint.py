@@ -5,7 +5,10 @@ text's shingles (SHINGLE words; a shorter text is one shingle; no words: an empt
 sketch). Sketches of parts merge into that of the whole, and two sketches
 estimate resemblance, containment and distinct shingle counts. Null text counts
 as empty; two empty sketches resemble each other fully, an empty one and another
-not at all.
+not at all. In ``compare`` the order of documents is descending by id, null ids
+last, rows with one id by text; each row is a document of its own. Very long
+texts only have more shingles, an empty table gives an empty one, and columns
+other than doc_id and text are left out.
 """
 
 from __future__ import annotations
@@ -89,19 +92,19 @@ def with_next(df: DataFrame, columns: list[str], doc_id: str = "doc_id", text: s
             F.lit(0),
             lambda a, s: F.when((a + s <= len(cuts)) & (F.get(bounds, a + s - 1) < F.col(doc_id)), a + s).otherwise(a),
         )
-    df = df.withColumn("_bucket", F.when(F.col(doc_id).isNull(), F.lit(-1)).otherwise(of))
-    order = Window.orderBy(F.col("_bucket").desc())  # over one row for each bucket
-    heads = df.groupBy("_bucket").agg(F.max(doc_id).alias("_head"))
+    df = df.withColumn("_next_bucket", F.when(F.col(doc_id).isNull(), F.lit(-1)).otherwise(of))
+    order = Window.orderBy(F.col("_next_bucket").desc())  # over one row for each bucket
+    heads = df.groupBy("_next_bucket").agg(F.max(doc_id).alias("_next_head"))
     follows = heads.select(
-        F.col("_bucket").alias("_for"),
-        F.when(F.row_number().over(Window.orderBy("_bucket")) == 1, F.first("_head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).otherwise(F.lead("_head").over(order)).alias("_head"),
+        F.col("_next_bucket").alias("_next_for"),
+        F.when(F.row_number().over(Window.orderBy("_next_bucket")) == 1, F.first("_next_head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).otherwise(F.lead("_next_head").over(order)).alias("_next_head"),
     )
     # at most MAX_BUCKETS + 1 rows of two numbers
-    extra = df.join(F.broadcast(follows), F.col(doc_id).eqNullSafe(F.col("_head"))).drop("_head", "_bucket").withColumnRenamed("_for", "_bucket")
-    both = df.withColumn("_extra", F.lit(0)).unionByName(extra.withColumn("_extra", F.lit(1)))
-    w = Window.partitionBy("_bucket").orderBy("_extra", F.col(doc_id).desc_nulls_last(), text)
+    extra = df.join(F.broadcast(follows), F.col(doc_id).eqNullSafe(F.col("_next_head"))).drop("_next_head", "_next_bucket").withColumnRenamed("_next_for", "_next_bucket")
+    both = df.withColumn("_next_extra", F.lit(0)).unionByName(extra.withColumn("_next_extra", F.lit(1)))
+    w = Window.partitionBy("_next_bucket").orderBy("_next_extra", F.col(doc_id).desc_nulls_last(), text)
     out = both.withColumns({f"next_{c}": F.lead(c).over(w) for c in columns})
-    return out.where("_extra = 0").drop("_extra", "_bucket")
+    return out.where("_next_extra = 0").drop("_next_extra", "_next_bucket")
 
 
 def edited(n_chars: Column, text: Column, following: Column) -> Column:

@@ -237,5 +237,5 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text", lang:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """Rows with text and a label that are not held out."""
-    return docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
+    """Rows with a letter and a label that are not held out."""
+    return docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(False)))

@@ -12,9 +12,14 @@ of vote patterns, a table with at most len(KINDS) * 3**6 rows, so no data but
 that table reaches the driver.
 
 Base spans always stay; other candidates are added where the classifier gives
-them KEEP or more and they touch no base span. Null text counts as empty.
-Patterns are linear: a run of characters is entered at its start (or where the
-last match ended) and never given back.
+them KEEP or more and they touch no base span. Patterns are linear: a run of
+characters is entered at its start (or where the last match ended) and never
+given back; matches are put in place in blocks, and spans compared by halving, so
+very long texts with very many matches take time in proportion.
+
+Null text counts as empty; null and repeated ids are kept as they are, each row
+for itself, and equal texts get equal spans. An empty table gives an empty one.
+Columns other than the id and the text are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -65,25 +70,48 @@ GAZETTEER = {
 }
 
 
+#: Matches that are put in place together: the work for a text grows with its matches times this, not with their square.
+BLOCK = 64
+
+
 def located(text: Column, pattern: str) -> Column:
-    """Start (code points) and value of each leftmost non-overlapping match."""
-    empty = F.array().cast("array<struct<start:int,value:string>>")
+    """Each leftmost non-overlapping match: start (code points), value, left (up to 32 characters before it, from the match before on) and next (the character behind it).
+
+    All of it comes from the matches and the gaps between them, as a substring of
+    a long text by code points would walk through it from its beginning.
+    """
+    match = "struct<start:int,value:string,left:string,next:string>"
 
     def build(pair: Column) -> Column:
         found, gaps = pair["found"], pair["gaps"]
 
         def step(a: Column, i: Column) -> Column:
             at = a["at"] + F.length(F.get(gaps, i))
-            value = F.get(found, i)
-            return F.struct((at + F.length(value)).alias("at"), F.concat(a["out"], F.array(F.struct(at.alias("start"), value.alias("value")))).alias("out"))
+            value, after = F.get(found, i), F.get(gaps, i + 1)
+            left = F.substring(F.concat(F.coalesce(F.get(found, i - 1), F.lit("")), F.get(gaps, i)), -32, 32)
+            following = F.substring(F.when(after != "", after).otherwise(F.coalesce(F.get(found, i + 1), F.lit(""))), 1, 1)
+            one = F.struct(at.alias("start"), value.alias("value"), left.alias("left"), following.alias("next"))
+            return F.struct((at + F.length(value)).alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-        return F.when(F.size(found) == 0, empty).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step)["out"])
+        def block(a: Column, k: Column) -> Column:
+            start = F.struct(a["at"].alias("at"), F.array().cast(f"array<{match}>").alias("out"))
+            own = F.aggregate(F.sequence(k * BLOCK, F.least((k + 1) * BLOCK, F.size(found)) - 1), start, step)
+            return let(own, lambda o: F.struct(o["at"].alias("at"), F.concat(a["out"], F.array(o["out"])).alias("out")))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{match}>>").alias("out"))
+        blocks = F.aggregate(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), start, block)
+        return F.when(F.size(found) == 0, F.array().cast(f"array<{match}>")).otherwise(F.flatten(blocks["out"]))
 
     pair = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
     return let(pair, build)
 
 
+def below(ordered: Column, x: Column) -> Column:
+    """How many numbers of a sorted array are less than x, by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in range(29, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.coalesce(F.get(ordered, n + s - 1) < x, F.lit(False)), n + s).otherwise(n))
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -125,9 +153,8 @@ def judged(kind: str, text: Column, strict: bool) -> Column:
         end = start + F.length(value)
         ok = F.coalesce(valid(kind, value), F.lit(False))
         base = (F.lit(True) if kind == "email" else ok) if strict else F.lit(False)
-        left = F.lower(F.substring(text, F.greatest(start - 31, F.lit(1)), F.least(start, F.lit(32))))
-        before = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
-        after = F.substring(text, end + 1, F.lit(1))
+        left = F.lower(m["left"])
+        before, after = F.substring(m["left"], -1, 1), m["next"]
         votes = [
             vote(F.lit(strict)) if kind != "secret" else vote(F.length(value) >= 16),
             vote(ok),
@@ -213,8 +240,10 @@ def detect(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     keep = [k for k, p in classifier(patterns, reliabilities(patterns)).items() if p >= KEEP]
     span = lambda c: F.struct(c["start"], c["kind"], c["end"])
     base = F.array_sort(F.transform(F.filter("candidates", lambda c: c["base"]), span))
-    kept = found.select(doc_id, "candidates", base.alias("base"))
-    free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    ordered = lambda field: F.sort_array(F.transform("base", lambda b: b[field]))
+    kept = found.select(doc_id, "candidates", base.alias("base")).withColumns({"starts": ordered("start"), "ends": ordered("end")})
+    # no base span overlaps: all that start before the end have ended by the start
+    free = lambda c: below(F.col("starts"), c["end"]) == below(F.col("ends"), c["start"] + 1)
     chosen = lambda c: ~c["base"] & F.concat_ws(":", c["kind"].cast("string"), c["votes"]).isin(keep) & free(c)
     added = F.transform(F.filter("candidates", chosen), span)
     return kept.select(doc_id, "base", F.array_sort(F.array_distinct(F.concat("base", added))).alias("spans"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontam, fingerprint, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
+from .oracles import ORACLE  # noqa: F401
 
 #: The vocabulary file of op6, a parameter.
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -73,4 +74,3 @@ QUERIES = {
     "op9_quotation_linking": op9_quotation_linking,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {}

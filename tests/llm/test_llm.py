@@ -1,6 +1,7 @@
 """Each operator against its brute-force version, with odd rows."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -128,6 +129,38 @@ def test_ngram_join_mixed_sizes(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link(d, 1, 85).collect()} == want
 
 
+def test_ngram_join_ids(spark):
+    """Rows of one id are linked, null ids are documents of their own, and columns of other names do no harm."""
+    one, two, other = (" ".join(f"{c}{k}" for k in range(30)) for c in "xyz")
+    texts = [(8, one), (8, two), (6, one), (7, two + " more"), (None, one + " w"), (None, other), (None, other + " w"), (None, other), (9, None), (8, ""), (8, one)]
+    d = spark.createDataFrame([(i, t, 1, 2, "k") for i, t in texts], "doc_id long, text string, n int, row int, key string")
+    got = sorted((tuple(r)[0], r["component_id"]) for r in ngram_join.link(d, 4, 85).where("doc_id is not null").collect())
+    assert got == [(6, 6), (7, 6), (8, 6), (8, 6), (8, 6), (8, 8), (9, 9)]
+    assert rows(ngram_join.link(d, 4, 85).where("doc_id is null").select("n_shingles", "component_id")) == sorted([(28, 6), (27, None), (28, None), (27, None)], key=repr)
+
+
+@pytest.mark.parametrize("percent", [50, 85, 100])
+def test_ngram_join_overlap_bound(percent):
+    """A linked pair's prefixes share at least as many tokens as a group must, over all ways to split a union in order."""
+    import itertools
+
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    found = {}
+    for size in range(1, 9):
+        for owner in itertools.product((1, 2, 3), repeat=size):  # in the set, the member, both
+            a, b = [k for k, o in enumerate(owner) if o & 1], [k for k, o in enumerate(owner) if o & 2]
+            if a and b and 100 * len(set(a) & set(b)) >= percent * size:
+                pre = [x[: len(x) - -(-percent * len(x) // 100) + 1] for x in (a, b)]
+                k = (len(a), len(b))
+                found[k] = min(found.get(k, 99), len(set(pre[0]) & set(pre[1])))
+    d = spark.createDataFrame([(n, m, least) for (n, m), least in found.items()], "n long, m long, least long")
+    for low, high in ((0, 0), (1, 0), (0, 2), (3, 3)):
+        bound = ngram_join.least_overlap(F.col("n"), F.greatest(F.col("m") - low, F.lit(1)), F.col("m") + high, percent)
+        assert d.where(bound > F.col("least")).isEmpty()
+
+
 @pytest.mark.parametrize("percent", [50, 85, 100])
 def test_ngram_join_group_bound(spark, percent):
     """A group with a member that passes the filters of two sets passes its own."""
@@ -135,7 +168,8 @@ def test_ngram_join_group_bound(spark, percent):
     sets = numbers("n", 25, 1).join(numbers("i", 6), F.col("i") < F.col("n")).join(numbers("m", 25, 1)).join(numbers("j", 6), F.col("j") < F.col("m"))
     sets = sets.where(ngram_join.may_link(F.col("n"), F.col("i"), F.col("m"), F.col("j"), percent))
     groups = sets.join(numbers("less", 4)).join(numbers("more", 4)).where("less < m")
-    bound = ngram_join.may_hold(F.col("n"), F.col("i"), F.col("m") - F.col("less"), F.col("m") + F.col("more"), F.col("j"), ngram_join.at_most(F.col("n"), F.col("m"), percent), percent)
+    low, high = F.col("m") - F.col("less"), F.col("m") + F.col("more")
+    bound = ngram_join.may_share(F.col("n"), low, high, ngram_join.at_most(F.col("n"), F.col("m"), percent), percent) & ngram_join.may_begin(F.col("n"), F.col("i"), low, high, F.col("j"), percent)
     assert groups.count() > 0 and groups.where(~bound).isEmpty()
 
 
@@ -161,6 +195,62 @@ def test_fingerprints(spark, docs):
     assert fingerprint.compare(docs.limit(0)).isEmpty() and fingerprint.compare(docs.limit(1)).count() == 1
 
 
+def test_fingerprint_sketches(spark, docs):
+    """Every sketch and likeness against hashes made in plain Python; the same SQL for what SQL can express."""
+    import base64
+    import re
+
+    import duckdb
+    import xxhash
+
+    def hashed(words):
+        h = 42
+        for w in words:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        return h - (1 << 64) if h >> 63 else h
+
+    def sketch(t):
+        w = [x for x in re.split(r"[ \t\n\x0B\f\r]+", t) if x]
+        n = fingerprint.SHINGLE
+        shingles = [w[k : k + n] for k in range(len(w) - n + 1)] if len(w) >= n else [w] if w else []
+        return sorted({hashed(s) for s in shingles})[: fingerprint.SKETCH]
+
+    def likeness(a, b):
+        if not a and not b:
+            return 1.0
+        union = sorted({*a, *b})[: fingerprint.SKETCH]
+        return len({*union} & {*a} & {*b}) / len(union)
+
+    text = lambda s: base64.b64encode(b"".join((x % (1 << 64)).to_bytes(8, "big") for x in s)).decode()
+    d = sorted(pairs_of(docs), reverse=True)
+    got = {r["doc_id"]: r for r in fingerprint.compare(docs).collect()}
+    for k, (i, t) in enumerate(d):
+        t, follow = t or "", d[(k + 1) % len(d)][1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + follow[:half]
+        a, b, c = sketch(t), sketch(edited), sketch(follow)
+        assert "".join(got[i]["fingerprint"].split()) == text(a) and "".join(got[i]["edited_fingerprint"].split()) == text(b)
+        assert abs(got[i]["near_edited"] - likeness(a, b)) < 1e-12 and abs(got[i]["near_next"] - likeness(a, c)) < 1e-12
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").where("text is null or not contains(text, char(0))").toPandas())
+    sql = con.sql("""
+        WITH o AS (SELECT doc_id, coalesce(text, '') AS t, lead(coalesce(text, '')) OVER w AS f, first(coalesce(text, '')) OVER (ORDER BY doc_id DESC) AS g FROM documents WINDOW w AS (ORDER BY doc_id DESC))
+        SELECT doc_id, length(t), sha256(left(t, length(t) - length(t) // 2) || left(coalesce(f, g), length(t) // 2)) FROM o""").fetchall()
+    clean = fingerprint.compare(docs.where("text is null or not contains(text, char(0))"))
+    assert rows(clean.select("doc_id", "n_chars", "edited_sha256")) == sorted(sql, key=repr)
+
+
+def test_fingerprint_odd_rows(spark):
+    """Null and repeated ids, and columns of clashing names; ties go by text."""
+    d = spark.createDataFrame([(None, "n", 1), (2, "b c", 2), (2, "a", 3), (5, None, 4), (None, "m", 5)], "doc_id long, text string, sketch int")
+    got = fingerprint.compare(d).collect()
+    follow = {"5": ("", "a"), "2": None}
+    assert len(got) == 5 and [r["n_chars"] for r in got if r["doc_id"] == 5] == [0] and follow
+    clash = fingerprint.with_next(d.selectExpr("doc_id", "text", "sketch as _bucket", "sketch as _extra", "sketch as _head"), ["text"])
+    assert clash.columns == ["doc_id", "text", "_bucket", "_extra", "_head", "next_text"]
+    assert [(r["doc_id"], r["text"], r["next_text"], r["_head"]) for r in clash.collect()].sort(key=repr) == [(5, None, "a", 4), (2, "a", "b c", 3), (2, "b c", "m", 2), (None, "m", "n", 5), (None, "n", None, 1)].sort(key=repr)
+
+
 def test_fingerprint_buckets(spark, docs, monkeypatch):
     monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 5)
     got = dict(rows(fingerprint.with_next(docs.select("doc_id", "text"), ["doc_id"]).select("doc_id", "next_doc_id")))
@@ -195,6 +285,37 @@ def test_quality(spark):
     assert quality.score(with_label, model).count() == d.count()
 
 
+def test_quality_fit(spark):
+    """Features by a plain loop; the weights are where the loss of the drawn pairs has no slope; the cut lies at the quantile."""
+    import pyarrow as pa
+
+    texts = ["Ab cd cd.\nAb cd! é", "", None, "x", "A|B 12\n\nA|B 12", "WORD word, word " * 900]
+    x = quality.features(pa.array(texts, pa.string()))
+    names = ["lower", "upper", "digit", "space", "line", "stop", "bar", "bang", "symbol", "quote", "high"]
+    for row, t in zip(x, texts):
+        raw, words, lines = (t or "").encode(), (t or "").split(), [v for v in (t or "").split("\n") if v]
+        n, some = max(len(raw), 1), max(len(words), 1)
+        share = {name: sum(c in {*quality._CLASSES[name]} for c in raw) / n for name in names}
+        share["rest"] = (len(raw) - sum(round(v * n) for v in share.values())) / n
+        pairs = list(zip([w.lower() for w in words], [w.lower() for w in words][1:]))
+        want = [v**0.5 for v in share.values()] + [np.log1p(len(words)), len({w.lower() for w in words}) / some, 1 - len(set(pairs)) / max(len(pairs), 1)]
+        want += [1 - len(set(lines)) / max(len(lines), 1), n / some / 10]
+        assert np.allclose(row[: len(want)], want), t
+        assert row[-1] == (len(words) < 5) and row[-2] == (not words)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(80, 4))
+    label = (x @ [1, -2, 0, 0.5] + rng.normal(size=80) > 0).astype(int)
+    model = quality.fit(x, label, pairs=500)
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    draw = np.random.default_rng(quality.SEED)
+    z = (x - x.mean(0)) / x.std(0)
+    d = z[draw.choice(good, 500)] - z[draw.choice(bad, 500)]
+    slope = 1e-4 * model["w"] - (d / (1 + np.exp(d @ model["w"]))[:, None]).mean(0)
+    assert np.abs(slope).max() < 1e-5
+    s = quality.scores(model, x)
+    assert abs(np.mean(s < quality.CUT) - len(bad) / 80) <= 1 / 80 and (np.argsort(s) == np.argsort(z @ model["w"])).all()
+
+
 @pytest.mark.parametrize("chunk", [10**6, 7])
 def test_decontamination(spark, docs, chunk):
     d = pairs_of(docs)
@@ -213,8 +334,40 @@ def test_proximity(spark):
     d = table(spark, ["a x x b", "a x x x x b", "b a", "a", "b"])
     block = decontam.Block(decontam.build_index(d.coalesce(1)).first().asDict())
     query, _ = decontam.words(pa.array(["a b"]))
-    near = {block.doc_ids[k] for k in block.doc(block.proximity(query, 3)).tolist()}
-    assert near == {0, 2}
+    which, at = block.proximity(query.reshape(1, 2), np.array([2]), 3)
+    assert {block.doc_ids[k] for k in block.doc(at).tolist()} == {0, 2} and set(which.tolist()) == {0}
+
+
+@pytest.mark.parametrize("chunk", [10**6, 3])
+def test_proximity_matches(spark, chunk):
+    """Items whose windows' words all stand near the rarest one, in any order, against a plain search; ids are strings."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 40))) for _ in range(60)] + [None]
+    items = [(f"i{k}", " ".join(rng.sample("abcdefgh", rng.randint(1, 4)))) for k in range(12)] + [(None, "a"), ("n", None)]
+    d = spark.createDataFrame([(None if k == 7 else f"d{k}", t) for k, t in enumerate(texts)], "doc_id string, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    got = decontam.decontaminate(d, b, chunk=chunk, within=3).collect()
+    assert len(got) == len(texts)
+    by_id = {r["doc_id"]: r for r in got}
+    for k, t in enumerate(texts):
+        if k == 7:
+            continue
+        w, exact, near = (t or "").split(), set(), set()
+        for i, x in items:
+            x = (x or "").split()
+            if not x or i is None:
+                continue
+            if any(w[j : j + len(x)] == x for j in range(len(w))):
+                exact.add(i)
+            if all(c in w for c in x):
+                span = [j for j, c in enumerate(w)]
+                # any posting of the rarest term of the block; for distinct letters the rarest is one of them
+                if any(all(any(w[m] == c and abs(m - j) <= 3 for m in span) for c in x) for j in span if w[j] in x):
+                    near.add(i)
+        r = by_id[f"d{k}"]
+        assert set(r["items"]) == exact and set(r["near_items"]).isdisjoint(exact) and set(r["near_items"]) <= near
+        assert exact <= near
+    assert any(r["near_items"] for r in got)
 
 
 def test_bpe(spark, docs):
@@ -235,6 +388,28 @@ def test_bpe(spark, docs):
             assert coder.decode(coder.encode(t)) == t.encode()
 
 
+def test_bpe_long_pieces():
+    """Pieces of many leaves, which a text's halves cut, and pieces that begin or end across a boundary."""
+    ranks = bpe.load_ranks(PATH)
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(6)
+    long = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("aeiounrst", 50000), ("ab", 20000), ("中文字", 9000), ("=-#", 30000), ("0123", 20000), (" ", 5000), ("\n ", 5000), ("a'sre", 20000), ("é", 7000))]
+    texts = long + ["".join(rng.sample(long, 4)), "x" + "'re" * 4000, "'" * 3000 + "s" * 3000, " " * 3000 + "word"]
+    for leaf in (2, 16, bpe.LEAF):
+        coder = bpe.TreeBpe(ranks, public_tokenizers.PATTERN, leaf)
+        for t in texts:
+            got = coder.encode(t)
+            assert got.tolist() == plain.encode_ordinary(t) and coder.decode(got) == t.encode()
+
+
+def test_bpe_odd_tables(spark):
+    d = spark.createDataFrame([(None, "a b", 1), (3, None, 2), (3, "a b", 3), (3, "a b", 4)], "doc_id long, text string, tokens int")
+    got = bpe.decode(bpe.encode(d, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
+    assert got.columns == ["doc_id", "text", "tokens", "decoded"]
+    assert rows(got.select("doc_id", "decoded")) == sorted([(None, bytearray(b"a b")), (3, bytearray()), (3, bytearray(b"a b")), (3, bytearray(b"a b"))], key=repr)
+    assert bpe.round_trip(d.limit(0), PATH, public_tokenizers.PATTERN).isEmpty()
+
+
 @pytest.mark.parametrize("length, gram", [(40, 12), (64, 64), (33, 1)])
 def test_suffix_dedup(spark, docs, length, gram):
     got = rows(suffix_dedup.digest(suffix_dedup.dedup(docs, length, gram)))
@@ -296,6 +471,25 @@ def test_pii_long_secret(spark):
     assert [(m["start"], m["value"]) for m in got] == [(text.index(token), token), (len(text) - 8, token[:8])]
 
 
+def test_pii_many_matches(spark):
+    """Very many matches in one text are found in time in proportion, with the right places."""
+    import time
+
+    took = []
+    for n in (1500, 12000):
+        text = "".join(f"x{k}@mail.example.org, é 10.0.{k % 256}.7; " for k in range(n))
+        began = time.time()
+        got = pii.digest(pii.detect(table(spark, [text]))).first()
+        took.append(time.time() - began)
+        assert got["n_email"] == n and got["n_ip"] == n and got["base_sha256"] == sha(",".join(personal(text)))
+    assert took[1] < 30 * max(took[0], 0.5)
+
+
+def test_pii_below(spark):
+    d = spark.createDataFrame([([1, 3, 3, 7], x) for x in range(10)] + [([], 4)], "a array<int>, x int")
+    assert [tuple(r) for r in d.select("x", pii.below(F.col("a"), F.col("x"))).collect()] == [(x, sum(y < x for y in (1, 3, 3, 7))) for x in range(10)] + [(4, 0)]
+
+
 def test_em():
     patterns = [(0, "+++0++", True, 50), (0, "-+++++", False, 20), (0, "-----+", False, 100)]
     truth = pii.reliabilities(patterns)
@@ -328,6 +522,56 @@ def test_chat(spark):
     assert chat.reply_ordered(df.limit(0)).isEmpty() and chat.reply_ordered(df.unionByName(df)).count() == 22
 
 
+def test_chat_random(spark):
+    """Random threads with quotes of quotes: the SQL written for the checking database, and a plain version of the links."""
+    import duckdb
+
+    from lodestone.llm.oracles import QUOTATION_LINKING
+
+    rng = random.Random(21)
+    said = [f"Line {k % 9} of {k % 4}, ok?" for k in range(30)]
+    m = []
+    for conv in [*range(12), None]:
+        texts = []
+        for turn in range(rng.randint(1, 9)):
+            parts = [rng.choice(said) for _ in range(rng.randint(0, 3))]
+            if texts and rng.random() < 0.7:
+                old = rng.choice(texts).split("\n")
+                parts = (["On Monday X wrote:"] if rng.random() < 0.5 else []) + ["> " + v for v in old if v][: rng.randint(1, 4)] + [""] * rng.randint(0, 1) + parts
+            texts.append("\n".join(parts))
+            m.append((conv, turn if rng.random() < 0.95 else None, rng.choice(["user", "assistant"]), texts[-1] if rng.random() < 0.97 else None))
+    df = spark.createDataFrame(m, "conv_id long, turn long, role string, text string").withColumn("depth", F.lit("clash"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", m)
+    got = chat.reply_ordered(df)
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({QUOTATION_LINKING})").fetchall()
+    assert rows(got) == sorted(want, key=repr) and sum(r["n_linked"] for r in got.collect()) > 20
+    long = spark.createDataFrame([(1, 0, "u", "start\n" + "word " * 200000), (1, 1, "u", "> start\n" * 3000 + "end")], "conv_id long, turn long, role string, text string")
+    assert [(r["n_quotes"], r["n_linked"], len(r["text"])) for r in chat.reply_ordered(long).orderBy("position").collect()] == [(0, 0, 6 + 1000000), (1, 0, 3)]
+
+
+def test_sql(spark):
+    """The SQL of operators 1, 2, 5 and 9 on the smallest tables."""
+    import glob
+    import os
+
+    import duckdb
+
+    from lodestone.llm.queries import ORACLE, QUERIES
+
+    where = "/root/testdata/sf0.001"
+    if not os.path.isdir(where):
+        pytest.skip("no tables here")
+    con = duckdb.connect()
+    for f in glob.glob(f"{where}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    for name, sql in ORACLE.items():
+        mine = QUERIES[name](spark, where)
+        columns = sorted(mine.columns)
+        assert rows(mine.select(*columns)) == sorted(con.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall(), key=repr), name
+
+
 def test_deep_replies(spark):
     """Each message quotes the one before the last, so that every one begins a run."""
     m = [(1, k, "u", (f"> line {k - 2}\n" if k > 1 else "") + f"line {k}") for k in range(40)]
@@ -342,7 +586,10 @@ def test_language(spark):
     made = [(k, lang, text(lang)) for k, lang in enumerate(rng.choice(list(letters)) for _ in range(300))]
     d = spark.createDataFrame([(k, t, lang if k % 7 else None) for k, lang, t in made] + [(1000, None, "aa"), (1001, "", "bb"), (1002, "12 !", None), (1003, "Ж", None)], "doc_id long, text string, lang string")
     samples = langid.learn(langid.training_rows(d))
-    assert sorted(samples) == ["aa", "bb", "cc"] and all(len(s) <= langid.SAMPLE_CHARS for s in samples.values())
+    assert sorted(samples) == ["aa", "bb", "cc"]
+    whole = {lang: {t for _, own, t in made if own == lang} for lang in samples}
+    assert all(any(s.startswith(t) for t in whole[lang]) and any(s.endswith(t) for t in whole[lang]) for lang, s in samples.items())
+    assert langid.learn(langid.training_rows(d), longest=1) == {lang: min((t for k, own, t in made if own == lang and k % 7 and zlib.crc32(str(k).encode()) % 3 != 1), key=lambda t: (len(t), t)) for lang in samples}
     got = {r["doc_id"]: r for r in langid.identify(d, samples).collect()}
     assert np.mean([got[k]["lang_pred"] == lang for k, lang, _ in made]) > 0.97
     assert all(got[k]["lang_pred"] == "und" and got[k]["score"] == 0 for k in (1000, 1001, 1002))
@@ -351,14 +598,46 @@ def test_language(spark):
     assert langid.learn(langid.training_rows(d.limit(0))) == {}
 
 
-def test_cross_parse():
-    """Phrases are greedy longest matches, by a plain search."""
+def test_language_by_hand(spark):
+    """Predictions and scores from phrases that a plain search counts; long texts, clashing columns and an empty table."""
+    rng = random.Random(18)
+    samples = {lang: " ".join("".join(rng.choice(a) for _ in range(4)) for _ in range(30)) for lang, a in (("x", "abcd"), ("y", "cdef"), ("z", "aceg"))}
+    texts = [" ".join("".join(rng.choice(rng.choice(["abcd", "cdef", "aceg"])) for _ in range(3)) for _ in range(rng.randint(1, 30))) for _ in range(40)] + ["abcd " * 6000, "1 2", None, ""]
+    d = spark.createDataFrame([(k % 5 or None, t, "s", 0.5) for k, t in enumerate(texts)], "doc_id long, text string, lang_pred string, score double").withColumn("k", F.monotonically_increasing_id())
+    got = langid.identify(d, samples)
+    assert got.columns == ["doc_id", "text", "k", "lang_pred", "score"]
+
+    def phrases(t, sample):
+        n = at = 0
+        while at < len(t):
+            k = 1
+            while at + k < len(t) and t[at : at + k + 1] in sample:
+                k += 1
+            at, n = at + k, n + 1
+        return n
+
+    for r in got.collect():
+        t = "".join(map(chr, langid.normal([r["text"] or ""])[0].tolist()))
+        if not t.strip():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cost = {lang: max(phrases(t, s), 1) * np.log2(len(s) + 2) for lang, s in samples.items()}
+        best = min(cost, key=lambda x: (cost[x], x))
+        assert r["lang_pred"] == best and abs(r["score"] - (1 / cost[best]) / sum(1 / c for c in cost.values())) < 1e-9
+    assert langid.identify(d.limit(0), samples).isEmpty()
+
+
+@pytest.mark.parametrize("stretch", [2, 7, 256])
+def test_cross_parse(monkeypatch, stretch):
+    """Phrases are greedy longest matches of whole texts, by a plain search."""
+    monkeypatch.setattr(langid, "STRETCH", stretch)
     rng = random.Random(3)
     sample = "".join(rng.choice("ab ") for _ in range(200))
     parser = langid.CrossParser({"x": sample})
     codes, _ = langid.normal([sample])
     plain = "".join(map(chr, codes.tolist()))
     texts = ["".join(rng.choice("abcc ") for _ in range(rng.randint(1, 100))) for _ in range(50)]
+    texts += ["".join(rng.choice("aabb ") for _ in range(900)), sample, sample * 3, sample[20:150] + "c" + sample[30:90], ""]
     got, _ = parser.phrases(texts)
     for t, n in zip(texts, got[:, 0]):
         codes, _ = langid.normal([t])
@@ -390,3 +669,22 @@ def test_pipeline(spark, tmp_path):
     assert rows(corpus_pipeline.run(spark, str(tmp_path))) == sorted(want, key=repr)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, d.limit(0), str(tmp_path)).columns == corpus_pipeline.COLUMNS, name
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Rows that share an id, null ids, repeated rows and clashing columns: no clean text goes."""
+    import corpus_pipeline
+
+    one, two, three, four = (" ".join(f"{c}{k}" for k in range(30)) for c in ("ab", "cd", "ef", "gh"))
+    texts = [(7, one), (7, two), (3, one + " x"), (None, three), (None, three + " y"), (None, four), (None, two + " z"), (9, one), (9, one), (4, "leak " + " ".join(f"q{k}" for k in range(12))), (4, "clean words stay here, all of them")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t), 1, 2) for i, t in texts], SCHEMA + ", key int, n_lines int")
+    spark.createDataFrame([(0, " ".join(f"q{k}" for k in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = corpus_pipeline.join_near(spark, d, "")
+    assert near.columns == corpus_pipeline.COLUMNS
+    kept = sorted(((r["doc_id"], r["text"]) for r in near.collect()), key=repr)
+    assert [x for x in kept if x[0] is not None] == [x for x in sorted(texts, key=repr) if x[0] == 3 or x == (7, two) or x[0] == 4]
+    assert len([x for x in kept if x[0] is None and x[1].startswith("ef")]) == 1 and (None, four) in kept and len(kept) == 6
+    left = corpus_pipeline.drop_leaks(spark, d, str(tmp_path))
+    assert rows(left.select("doc_id", "text")) == sorted((x for x in texts if not (x[1] or "").startswith("leak")), key=repr)
+    changed = corpus_pipeline.dedup_lines(spark, d, "")
+    assert changed.columns == corpus_pipeline.COLUMNS and changed.where("doc_id = 4").count() == 2
