@@ -60,6 +60,17 @@ def write_documents(found: DataFrame, out_dir: str, model: str) -> dict[str, flo
     return sizes
 
 
+def write_rows(found: DataFrame, out_dir: str, model: str, batch: str | int = 0) -> dict[str, float]:
+    """Write keys, raw and assembled texts as rows, by as many tasks as there are parts; their sizes in MB to one decimal.
+
+    The same batch again replaces itself. This is the sink for results of any size.
+    """
+    path = f"{out_dir}/results/{stem(model)}/batch={batch}"
+    found.select(*results.KEYS, "raw", "lean").write.mode("overwrite").parquet(path)
+    total = found.sparkSession.read.parquet(path).agg(*[F.round(F.coalesce(F.sum(F.octet_length(k)), F.lit(0)) / 1e6, 1).alias(k) for k in ("raw", "lean")]).first()
+    return total.asDict()
+
+
 def re_extract_file(spark: SparkSession, out_dir: str, model: str, theorems: DataFrame, mode: str = "default") -> DataFrame:
     """Extract again from a model's stored raw document and store the assembled texts; total, recovered and rate.
 

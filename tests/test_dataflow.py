@@ -125,6 +125,9 @@ def test_stored_again(spark, tmp_path, theorems):
     assert texts(model + ".bak") == [("older",), ("older",)] and [bool(r[0]) for r in texts(model)] == [False, True]
     stores.re_extract_file(spark, out, model, theorems)
     assert texts(model + ".bak") == texts(model)
+    for batch in (1, 2, 1):
+        assert stores.write_rows(found.withColumn("raw", F.repeat(F.lit("é"), 100_000)), out, model, batch) == {"raw": 0.4, "lean": 0.0}
+    assert spark.read.parquet(f"{out}/results/{model}").count() == 4
     stores.DoneSet(spark, f"{out}/checkpoints", model).mark(theorems, 0)
     counts = dict((r["name"], r["total_done"]) for r in stores.status(spark, f"{out}/checkpoints", registry.models(spark)).collect())
     assert len(counts) == 6 and counts.pop(model) == 2 and set(counts.values()) == {0}
