@@ -255,10 +255,10 @@ def as_text(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns."""
+    """The contract's columns, and n_spans, the number of all spans."""
 
     def count(k: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
 
     counts = [count(k) for k in range(4)]
-    return found.select("doc_id", *counts, F.sha2(as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

@@ -15,8 +15,8 @@ so for any two suffixes some offset below V leads both to samples, whose ranks
 decide. Ranks of samples come from prefix doubling in steps of V over the
 samples only, so memory is bounded by the group's bytes. In that order equal
 windows are neighbours. A bucket with very many classes is split by the distance of window
-and anchor, which is the same in equal windows, and one with still more by a hash
-of the windows, too.
+and anchor, which is the same in equal windows; of one with still more, windows of
+one distance are counted by their hash, so that no task needs all of them.
 
 Null text counts as empty and keeps nothing; texts shorter than LENGTH are
 never touched, and very long ones are hashed in pieces that overlap. Repeated
@@ -208,12 +208,12 @@ def sort_buckets(contexts: DataFrame, length: int) -> DataFrame:
 
     def flush(rows: list[tuple]):
         ids: dict[tuple, int] = {}
-        groups = np.array([ids.setdefault(r[:3], len(ids)) for r in rows], np.int64)
+        groups = np.array([ids.setdefault(r[:2], len(ids)) for r in rows], np.int64)
         out = []
-        for r, again in zip(rows, repeated_windows([r[5] for r in rows], groups, length)):
+        for r, again in zip(rows, repeated_windows([r[4] for r in rows], groups, length)):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
             if len(edge):
-                out.append((r[0], r[3], r[4], [{"lo": s, "hi": e - 1} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]))
+                out.append((r[0], r[2], r[3], [{"lo": s, "hi": e - 1} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist())]))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))))], FOUND.names)
 
@@ -221,18 +221,34 @@ def sort_buckets(contexts: DataFrame, length: int) -> DataFrame:
         rows, total, last = [], 0, None
         for batch in batches:
             for b in slices(iter([batch]), "bytes", 1 << 20):
-                for r in zip(*[b.column(c).to_pylist() for c in ("bucket", "part", "sub", "content", "from", "bytes")]):
-                    if total >= GROUP_BYTES and r[:3] != last:
+                for r in zip(*[b.column(c).to_pylist() for c in ("bucket", "part", "content", "from", "bytes")]):
+                    if total >= GROUP_BYTES and r[:2] != last:
                         yield from flush(rows)
                         rows, total = [], 0
                     rows.append(r)
-                    total += len(r[5])
-                    last = r[:3]
+                    total += len(r[4])
+                    last = r[:2]
         if rows:
             yield from flush(rows)
 
-    dealt = contexts.repartition("bucket", "part", "sub").sortWithinPartitions("bucket", "part", "sub")
-    return dealt.select("bucket", "part", "sub", "content", "from", "bytes").mapInArrow(tidy(run), FOUND)
+    dealt = contexts.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return dealt.select("bucket", "part", "content", "from", "bytes").mapInArrow(tidy(run), FOUND)
+
+
+def contexts_of(docs: DataFrame, need: DataFrame, length: int) -> DataFrame:
+    """bucket, part, content, from and bytes of each window range from..to of a row that need names."""
+    wanted = need.groupBy("row").agg(F.collect_list(F.struct("bucket", "part", "content", "lo", "from", "to")).alias("wanted"))  # at most the windows of a text
+    one_each = docs.join(wanted, "row").select("row", F.col("text").cast("binary").alias("bytes"), "wanted").dropDuplicates(["row"])
+    cut = F.expr("substring(bytes, cast(c.from + 1 as int), cast(c.to - c.from as int) + " + str(length) + ")")
+    return one_each.select("bytes", F.explode("wanted").alias("c")).select("c.bucket", "c.part", "c.content", (F.col("c.from") - F.col("c.lo")).alias("from"), cut.alias("bytes"))
+
+
+def equal_windows(contexts: DataFrame) -> DataFrame:
+    """FOUND of contexts that are one window each: those whose bytes stand in another one of their bucket and part, by counts of hashes."""
+    hashed = written(contexts.select("bucket", "part", "content", "from", F.xxhash64("bytes").alias("window")), "windows")
+    several = written(hashed.groupBy("bucket", "part", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "windows")
+    range_ = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi")))
+    return hashed.join(several, ["bucket", "part", "window"], "left_semi").select("bucket", "content", "from", range_.alias("ranges"))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -246,20 +262,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     classes = written(classes, "classes")
     several = classes.groupBy("bucket").agg(F.count("*").alias("classes"), F.count_if(F.col("n") == 1).alias("single")).where("classes > 1 and single > 0")
     w = length - gram + 1
-    # buckets of more than a group's bytes are split by the distance of window and anchor, and those of more than w groups by their windows, too
-    groups = F.ceil(F.col("classes") * (length + w // 2) / F.lit(GROUP_BYTES)).cast("int")
-    parts = F.greatest(F.lit(1), F.least(F.lit(w), groups))
-    subs = F.when(groups > w, F.ceil(F.col("classes") * length / F.lit(GROUP_BYTES)).cast("int")).otherwise(1)
-    several = written(several.select("bucket", parts.alias("parts"), subs.alias("subs")), "several")
-    need = classes.join(several, "bucket").select("bucket", "content", "n", "one.*", "parts", "subs")
+    # buckets of more than a group's bytes are split by the distance of window and anchor; of those of more than w groups each window stands alone
+    groups = F.ceil(F.col("classes") * (length + w // 2) / F.lit(GROUP_BYTES))
+    parts = F.least(F.lit(w), F.greatest(F.lit(1), groups)).cast("int")
+    several = written(several.select("bucket", parts.alias("parts"), (groups > w).alias("alone")), "several")
+    need = classes.join(several, "bucket").select("bucket", "content", "n", "one.*", "parts", "alone")
     need = need.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     nearest, farthest = F.floor(F.col("part") * w / F.col("parts")), F.floor((F.col("part") + 1) * w / F.col("parts")) - 1
     need = need.withColumns({"from": F.greatest("lo", F.col("anchor") - farthest), "to": F.least("hi", F.col("anchor") - nearest)}).where("from <= to")
-    wanted = need.groupBy("row").agg(F.collect_list(F.struct("bucket", "part", "subs", "content", "lo", "from", "to")).alias("wanted"))  # at most the windows of a text
-    one_each = docs.join(wanted, "row").select("row", F.col("text").cast("binary").alias("bytes"), "wanted").dropDuplicates(["row"])
-    contexts = one_each.select("bytes", F.explode("wanted").alias("c")).select("c.bucket", "c.part", "c.subs", "c.content", (F.col("c.from") - F.col("c.lo")).alias("from"), F.expr("substring(bytes, cast(c.from + 1 as int), cast(c.to - c.from as int) + " + str(length) + ")").alias("bytes"))
-    contexts = contexts.withColumn("sub", F.when(F.col("subs") > 1, F.pmod(F.xxhash64("bytes"), "subs")).otherwise(F.lit(0).cast("long")))
-    found = written(sort_buckets(contexts, length), "sorted")
+    found = sort_buckets(contexts_of(docs, need.where("not alone"), length), length)
+    if not several.where("alone").isEmpty():
+        found = found.unionByName(equal_windows(contexts_of(docs, need.where("alone"), length)))
+    found = written(found, "sorted")
     dropped(several)
     moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("from")).alias("lo"), (r["hi"] + F.col("from")).alias("hi")))
     ranges = found.select("bucket", "content", moved.alias("ranges")).groupBy("bucket", "content").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))

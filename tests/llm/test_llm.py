@@ -281,6 +281,8 @@ def test_quality(spark):
     assert np.mean([(got[k] >= quality.CUT) == (k < 150) for k in range(210)]) > 0.95
     assert quality.learn(d, labels.limit(0)) is None and quality.learn(d.limit(0), labels) is None
     assert {r["score"] for r in quality.score(d, None).collect()} == {0.5}
+    long = quality.score(spark.createDataFrame([(k, good[0] * 3000) for k in (None, 1, 1)], "doc_id long, text string"), model).collect()
+    assert len({r["score"] for r in long}) == 1 and len(long) == 3 and quality.score(d.limit(0), model).isEmpty()
     with_label = d.withColumn("label", d["doc_id"]).withColumn("score", d["doc_id"])
     assert quality.score(with_label, model).count() == d.count()
 
@@ -417,8 +419,10 @@ def test_suffix_dedup(spark, docs, length, gram):
 
 
 def test_suffix_dedup_odd(spark, docs, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 100)  # splits buckets
     few = docs.where("doc_id < 30")
+    for group in (700, 3, 100):  # splits buckets by distance, with the least value to windows that stand alone
+        monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", group)
+        assert rows(suffix_dedup.digest(suffix_dedup.dedup(few, 40, 12))) == sorted(repeats(pairs_of(few), 40), key=repr)
     assert rows(suffix_dedup.digest(suffix_dedup.dedup(few, 40, 12))) == sorted(repeats(pairs_of(few), 40), key=repr)
     assert suffix_dedup.dedup(docs.limit(0)).isEmpty()
     twice = few.unionByName(few.where("doc_id = 4"))
@@ -428,6 +432,18 @@ def test_suffix_dedup_odd(spark, docs, monkeypatch):
         suffix_dedup.dedup(docs, 10, 4)
 
 
+def test_suffix_dedup_pieces(spark, monkeypatch):
+    """Documents of many pieces, null and repeated ids and clashing columns, end to end."""
+    rng = random.Random(11)
+    many = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (3000, 900, 200)]
+    texts = [many[0] + many[1], many[1][100:700] + many[2], many[2] * 3, many[0][1500:], None, "", many[2]]
+    ids = [1, None, 1, 7, None, 3, None]
+    d = spark.createDataFrame([(i, t, k, 0, 0) for k, (i, t) in enumerate(zip(ids, texts))], "doc_id long, text string, row int, bucket int, removed int").coalesce(1)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 250)
+    want = [(ids[i], *x) for i, *x in repeats(list(enumerate(texts)), 40)]
+    assert rows(suffix_dedup.digest(suffix_dedup.dedup(d, 40, 12))) == sorted(want, key=repr)
+
+
 def test_long_documents(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 100)
     rng = random.Random(2)
