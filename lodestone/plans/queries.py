@@ -16,7 +16,7 @@ from ..functions.dialect import DUCK, SPARK, Dialect
 from ..operators import extract as ex
 from ..operators import jobs, prompts, registry, results
 from ..sources import problems
-from . import scratch
+from . import oracles, scratch
 from .fixtures import ctes, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +242,5 @@ frame(
     "p AS MATERIALIZED (SELECT *, CASE WHEN raw = '' THEN '' ELSE 'rfl' END AS proof FROM a) "
     f"SELECT model, name AS theorem, attempt_key, raw, proof, {ex.assemble(DUCK, 'header', 'informal_prefix', 'formal_statement', 'proof')} AS lean FROM p",
 )
+# where SQL of its own says what an operator does, that is the check
+ORACLE.update(oracles.ORACLE)
