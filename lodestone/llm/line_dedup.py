@@ -30,7 +30,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import dropped, written
 from .fingerprint import let
@@ -77,9 +76,17 @@ def ranks(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<bigint>")
 
 
-def parity(hashes: Column) -> Column:
+def parity(hashes: Column, odd: bool) -> Column:
+    """64 bits, each the parity of the hashes that fall on it: of all, or of those whose next bit is set."""
     one = F.lit(1).cast("long")
-    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))))
+    weight = lambda h: F.shiftright(h, 6).bitwiseAND(one) if odd else one
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", weight(h), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def apart(x, y) -> Column:
+    """Bits of 128 in which the parities of two lines differ: those of hashes with and without the next bit."""
+    odd = x("odd").bitwiseXOR(y("odd"))
+    return F.bit_count(x("sig").bitwiseXOR(y("sig")).bitwiseXOR(odd)) + F.bit_count(odd)
 
 
 def plausible(x, y, percent: int) -> Column:
@@ -87,7 +94,7 @@ def plausible(x, y, percent: int) -> Column:
     n, m = x("n"), y("n")
     most = F.least(n - x("pos"), m - y("pos"))
     differ = n + m - 2 * F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m)) & (F.bit_count(x("sig").bitwiseXOR(y("sig"))) <= differ)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m)) & (apart(x, y) <= differ)
 
 
 def of(alias: str):
@@ -114,14 +121,14 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     rank = ranks(docs)
     n = F.size("k")
     least = n - F.ceil(F.lit(percent) * n / F.lit(100)).cast("int") + 1
-    lines = words_by_line(docs, rank).select("doc_id", "row", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k")).alias("sig"), F.slice("k", 1, least).alias("prefix"))
+    lines = words_by_line(docs, rank).select("doc_id", "row", "line", n.alias("n"), F.xxhash64("k").alias("key"), parity(F.col("k"), False).alias("sig"), parity(F.col("k"), True).alias("odd"), F.slice("k", 1, least).alias("prefix"))
     lines = written(lines, "lines")
     at = F.struct("doc_id", "row", "line")
-    classes = lines.groupBy("key").agg(F.min("n").alias("n"), F.min("sig").alias("sig"), F.first("prefix").alias("prefix"), F.min(at).alias("at"), F.count("*").alias("copies"))
+    classes = lines.groupBy("key").agg(F.min("n").alias("n"), F.min("sig").alias("sig"), F.min("odd").alias("odd"), F.first("prefix").alias("prefix"), F.min(at).alias("at"), F.count("*").alias("copies"))
     classes = written(classes, "classes")
     members = written(lines.select("doc_id", "row", "line", "key"), "members")
     dropped(lines)
-    entries = classes.select("key", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
+    entries = classes.select("key", "n", "sig", "odd", F.posexplode("prefix").alias("pos", "token"))
     x, y = entries.alias("x"), entries.alias("y")
     some = (F.col("x.token") == F.col("y.token")) & (F.col("x.key") != F.col("y.key")) & plausible(of("x"), of("y"), percent)
     candidates = written(x.join(y, some, "left_semi"), "candidates")
@@ -135,9 +142,11 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     sets = docs.alias("d").join(wanted.alias("w"), same_row).select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
     sets = written(sets.select(F.explode("s").alias("s")).select("s.key", "s.h").dropDuplicates(["key"]), "words")
 
-    first = near.withColumn("first", F.min(F.struct("at", "key", "n", "pos", "sig")).over(Window.partitionBy("token")))
-    stars = first.where((F.col("first.key") != F.col("key")) & plausible(F.col, of("first"), percent)).select(F.col("key").alias("a"), F.col("first.key").alias("b"))
+    # written, so that the join may split a frequent word's entries
+    earliest = written(near.groupBy("token").agg(F.min(F.struct("at", "key", "n", "pos", "sig", "odd")).alias("first")), "earliest")
+    stars = near.join(earliest, "token").where((F.col("first.key") != F.col("key")) & plausible(F.col, of("first"), percent)).select(F.col("key").alias("a"), F.col("first.key").alias("b"))
     stars = written(stars.distinct(), "stars")
+    dropped(earliest)
     decided = written(verified(stars, sets, percent), "decided")
     open_ = near.join(decided, "key", "left_anti").alias("x")
     rest = open_.join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.at") < F.col("x.at")) & plausible(of("x"), of("y"), percent))
