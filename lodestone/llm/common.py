@@ -51,22 +51,26 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-#: Removes a query's shuffle files when it has ended, not when the driver happens to collect its garbage.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: its query's shuffle files go when it has ended, not when the driver
+#: happens to collect its garbage; and the text of its plan, which the driver keeps and
+#: logs with every change, is cut, as it may hold a table of constants.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "50000"}
 
 
 @contextlib.contextmanager
-def cleaned(spark: SparkSession):
-    """While this holds, the shuffle files of a query go when it ends."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def writing(spark: SparkSession):
+    """While this holds, the settings of WRITING do."""
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _path(spark: SparkSession, path: str):
@@ -83,7 +87,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with cleaned(spark):
+    with writing(spark):
         df.write.option("compression", "zstd").parquet(path)
     fs, hpath = _path(spark, path)
     fs.deleteOnExit(hpath)

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import dropped, written
 from .fingerprint import let
@@ -62,18 +63,21 @@ def words_of(line: Column, rank: Column) -> Column:
     return F.sort_array(F.array_distinct(F.array_remove(keys, order_key(F.lit(""), rank))))
 
 
+def hashes_of(line: Column) -> Column:
+    """The hashes of a line's distinct words, in any order."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
 def ranks(docs: DataFrame) -> Column:
     """The rank of each counter of words over all texts, rarest first, as one literal array."""
-    words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - BITS).alias("c")).agg(F.count("*").alias("n")).collect()
     size = 1 << BITS
-    n = [0] * size
-    for r in counts:
-        n[r["c"]] = r["n"]
-    rank = [0] * size
-    for k, c in enumerate(sorted(range(size), key=lambda c: (n[c], c))):
-        rank[c] = k - size // 2
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<bigint>")
+    words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - BITS).alias("c")).agg(F.count("*").alias("n"))
+    every = docs.sparkSession.range(size).join(counts, F.col("id") == F.col("c"), "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+    place = F.row_number().over(Window.orderBy("n", "id")) - size // 2 - 1  # over a fixed number of counters
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda x: x["r"].cast("string"))
+    text = every.select("id", place.alias("r")).agg(F.array_join(in_order, ",").alias("text")).first()["text"]
+    return F.split(F.lit(text), ",").cast("array<bigint>")
 
 
 def parity(hashes: Column, odd: bool) -> Column:
@@ -139,7 +143,7 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
 
     wanted = near.groupBy("at.doc_id", "at.row").agg(F.collect_set(F.struct("key", "at.line")).alias("wanted"))  # at most the lines of a document
     same_row = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.row") == F.col("w.row"))
-    sets = docs.alias("d").join(wanted.alias("w"), same_row).select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), words_of(F.get(ls, w["line"]), rank).alias("h")))).alias("s"))
+    sets = docs.alias("d").join(wanted.alias("w"), same_row).select(let(lines_of(F.col("text")), lambda ls: F.transform("wanted", lambda w: F.struct(w["key"].alias("key"), hashes_of(F.get(ls, w["line"])).alias("h")))).alias("s"))
     sets = written(sets.select(F.explode("s").alias("s")).select("s.key", "s.h").dropDuplicates(["key"]), "words")
 
     # written, so that the join may split a frequent word's entries
@@ -151,15 +155,15 @@ def removed_lines(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     open_ = near.join(decided, "key", "left_anti").alias("x")
     rest = open_.join(near.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.at") < F.col("x.at")) & plausible(of("x"), of("y"), percent))
     rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    similar = decided.unionByName(verified(rest, sets, percent)).withColumn("similar", F.lit(True))
+    similar = decided.unionByName(verified(rest, sets, percent))
 
     # the first lines of sets similar to an earlier one, and every line but the first of each set
-    found = written(firsts.join(similar, "key", "left").where("similar or copies > 1"), "found")
-    dropped(near, sets, stars, decided, firsts)
-    copies = members.join(found.where("copies > 1").select("key", F.col("at").alias("first")), "key").where(at != F.col("first"))
-    gone = found.where("similar").select("at.*").unionByName(copies.select("doc_id", "row", "line"))
+    later = written(near.select("key", "at").distinct().join(similar, "key", "left_semi").select("at.*"), "later")
+    dropped(near, sets, stars, decided)
+    copies = members.join(firsts.where("copies > 1").select("key", F.col("at").alias("first")), "key").where(at != F.col("first"))
+    gone = later.unionByName(copies.select("doc_id", "row", "line"))
     gone = written(gone.groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone")), "gone")
-    dropped(members, found)
+    dropped(members, firsts, later)
     return gone
 
 
