@@ -21,9 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 
 
+#: Rows in an Arrow batch between the JVM and Python, of which both sides keep some, where the session has Spark's default.
+BATCH_ROWS = 2000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python, once for each application."""
+    """Give the package to the executors' Python, once for each application, and bound batches of whole texts."""
     sc = spark.sparkContext
+    if spark.conf.get(_ARROW_ROWS) == "10000":
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[2]
