@@ -184,19 +184,26 @@ def _ranks(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", leaf: int = LEAF) -> DataFrame:
-    """df with the column tokens, array<int>."""
+def _tokens(coder: TreeBpe, texts: pa.Array) -> tuple[list[np.ndarray], pa.Array]:
+    ids = [coder.encode(t or "") for t in texts.to_pylist()]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", tokens: str = "tokens", leaf: int = LEAF, decoded: str | None = None) -> DataFrame:
+    """df with the column tokens, array<int>; with the name of a column decoded, also that of the tokens decoded again, in the same pass."""
     shared = _ranks(df, path)
-    df = df.drop(tokens)
-    schema = T.StructType([*df.schema.fields, T.StructField(tokens, T.ArrayType(T.IntegerType(), False), False)])
+    df = df.drop(tokens) if decoded is None else df.drop(tokens, decoded)
+    more = [T.StructField(tokens, T.ArrayType(T.IntegerType(), False), False)]
+    more += [T.StructField(decoded, T.BinaryType(), False)] if decoded else []
+    schema = T.StructType([*df.schema.fields, *more])
 
     def run(batches):
         coder = TreeBpe(shared.value, pattern, leaf)
-        for b in slices(batches, text, 1 << 20):
-            ids = [coder.encode(t or "") for t in b.column(text).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, tokens])
+        for b in slices(batches, text):
+            ids, lists = _tokens(coder, b.column(text))
+            back = [pa.array([coder.decode(x) for x in ids], pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*b.columns, lists, *back], schema.names)
 
     return df.mapInArrow(tidy(run), schema)
 
@@ -230,5 +237,5 @@ def digest(df: DataFrame) -> DataFrame:
 
 
 def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row's text."""
-    return digest(decode(encode(df.select("doc_id", "text"), path, pattern).drop("text"), path, pattern))
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row's text, by one pass of one worker for each task."""
+    return digest(encode(df.select("doc_id", "text"), path, pattern, decoded="decoded"))

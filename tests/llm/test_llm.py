@@ -408,6 +408,8 @@ def test_bpe_odd_tables(spark):
     d = spark.createDataFrame([(None, "a b", 1), (3, None, 2), (3, "a b", 3), (3, "a b", 4)], "doc_id long, text string, tokens int")
     got = bpe.decode(bpe.encode(d, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
     assert got.columns == ["doc_id", "text", "tokens", "decoded"]
+    one = bpe.encode(d.withColumn("decoded", F.lit(1)), PATH, public_tokenizers.PATTERN, decoded="decoded")
+    assert one.columns == got.columns and rows(one) == rows(got)
     assert rows(got.select("doc_id", "decoded")) == sorted([(None, bytearray(b"a b")), (3, bytearray()), (3, bytearray(b"a b")), (3, bytearray(b"a b"))], key=repr)
     assert bpe.round_trip(d.limit(0), PATH, public_tokenizers.PATTERN).isEmpty()
 
