@@ -39,7 +39,7 @@ from .common import LOWER, ship, slices, span_hashes, spans, tidy, utf8, written
 #: Words in a window.
 WINDOW = 10
 #: Bytes of text in a block of the index.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Windows in a broadcast chunk (about 100 bytes each).
 CHUNK = 200_000
 
