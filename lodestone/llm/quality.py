@@ -8,27 +8,36 @@ the text's ranking value, moved and scaled so that the cut-off (CUT) lies at the
 quantile of the training scores that the share of label 0 marks: texts at or
 above it are predicted 1.
 
-The model is fitted on at most TRAIN_ROWS labelled rows (those with the least
-hashes of their ids) and is a vector of fixed length, so what goes to the driver
-and back is bounded. Null text counts as empty and is scored like an empty text.
+All labelled rows that are not held out and all their pairs count. The features
+are written once, and each step of the fit is one pass over them: rows are added
+up by class and by the cell of a fixed grid that their ranking value falls in, and
+the loss, its slope and curvature are those of all pairs of rows, each at the mean
+value of its cell. Order statistics of the values are found on the same grid, made
+finer in each pass. So what goes to the driver has a fixed length.
+Null text counts as empty and is scored like an empty text.
 A document with several labels has the least of them. Without labels of both
 kinds every text has the score 0.5 and is kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, mix, ship, slices, span_hashes, spans, utf8
+from .common import LOWER, dropped, mix, ship, slices, span_hashes, spans, tidy, utf8, written
 
-#: Labelled rows that are learnt from, at most.
-TRAIN_ROWS = 30_000
-#: Preference pairs for the fit, at most.
-PAIRS = 200_000
+#: Cells of the grid of ranking values; those of its coarser form, for the curvature.
+GRID, COARSE = 1024, 64
+#: The value at half of the grid's upper part; passes that make the grid finer for an order statistic.
+HALF, FINER = 8.0, 4
+#: The slope of the loss at which the fit ends; far below it rows only move to and fro between cells.
+FLAT = 1e-6
+_CHUNK = 1 << 12
 #: The score at the threshold quantile.
 CUT = 0.3
 SEED = 7
@@ -110,29 +119,143 @@ def features(column: pa.Array) -> np.ndarray:
     return np.stack([np.asarray(c, float) for c in columns], 1)
 
 
-def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, l2: float = 1e-4, steps: int = 60) -> dict | None:
-    """Weights, centre and scale of the features, and the map of ranking values to scores."""
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(bad):
+def minimise(slopes: Callable, width: int, l2: float, steps: int) -> np.ndarray:
+    """Newton's method until the slope is below FLAT; slopes gives the loss of weights, its slope and curvature.
+
+    A step that raises the loss is halved.
+    """
+    w, step = np.zeros(width), np.zeros(width)
+    least = np.inf
+    for _ in range(steps):
+        now = w - step
+        loss, gradient, hessian = slopes(now)
+        loss, gradient = loss + l2 / 2 * float(now @ now), gradient + l2 * now
+        if np.abs(gradient).max() < FLAT:
+            return now
+        if loss > least:
+            step = step / 2
+            continue
+        w, least = now, loss
+        step = np.linalg.solve(hessian + l2 * np.eye(width), gradient)
+    return w
+
+
+def on_grid(value: np.ndarray) -> np.ndarray:
+    """A value's place on the grid, from 0 to 1; it keeps the order and has no bounds for values."""
+    return (value / (HALF + np.abs(value)) + 1) / 2
+
+
+def cells(place: np.ndarray, low: float = 0.0, cells_each: float = GRID) -> np.ndarray:
+    return np.clip(((place - low) * cells_each).astype(np.int64), 0, GRID - 1)
+
+
+def added(x: np.ndarray, label: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Of the rows x with label 0 and of those with label 1: counts and sums of x by cell, and sums of products by coarse cell."""
+    width = len(w)
+    count, total = np.zeros((2, GRID)), np.zeros((2, GRID, width))
+    product = np.zeros((2, COARSE, width, width))
+    for k in (0, 1):
+        z = x[label == k]
+        cell = cells(on_grid(z @ w))
+        order = np.argsort(cell, kind="stable")
+        z, cell = z[order], cell[order]
+        count[k] = np.bincount(cell, minlength=GRID)
+        for f in range(width):
+            total[k, :, f] = np.bincount(cell, z[:, f], GRID)
+        rough = cell // (GRID // COARSE)
+        cuts = np.searchsorted(rough, np.arange(COARSE + 1))
+        for c in np.unique(rough):
+            part = z[cuts[c] : cuts[c + 1]]
+            product[k, c] = part.T @ part
+    return np.concatenate([count.ravel(), total.ravel(), product.ravel()])
+
+
+def all_pairs(sums: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, slope and curvature, a pair each, of all pairs of a row of label 1 and one of label 0, from what added() gives."""
+    width = len(w)
+    count = sums[: 2 * GRID].reshape(2, GRID)
+    total = sums[2 * GRID : 2 * GRID * (1 + width)].reshape(2, GRID, width)
+    product = sums[2 * GRID * (1 + width) :].reshape(2, COARSE, width, width)
+    pairs = count[0].sum() * count[1].sum()
+
+    def lost(count, total):
+        """Counts and sums of the cells that have rows, and all differences of their mean values."""
+        bad, good = ((n[n > 0], t[n > 0]) for n, t in zip(count, total))
+        return bad, good, (good[1] @ w / good[0])[:, None] - (bad[1] @ w / bad[0])[None, :]
+
+    (n0, t0), (n1, t1), apart = lost(count, total)
+    loss = n1 @ np.logaddexp(0, -apart) @ n0 / pairs
+    p = 1 / (1 + np.exp(np.clip(apart, -30, 30)))
+    gradient = -((p @ n0) @ t1 - (n1 @ p) @ t0) / pairs
+    rough_n = count.reshape(2, COARSE, -1).sum(2)
+    (n0, t0), (n1, t1), apart = lost(rough_n, total.reshape(2, COARSE, -1, width).sum(2))
+    p = 1 / (1 + np.exp(np.clip(apart, -30, 30)))
+    p = p * (1 - p)
+    across = t1.T @ p @ t0
+    own = np.tensordot(p @ n0, product[1][rough_n[1] > 0], 1) + np.tensordot(n1 @ p, product[0][rough_n[0] > 0], 1)
+    return float(loss), gradient, (own - across - across.T) / pairs
+
+
+def places(tally: Callable, value: Callable, wanted: list[tuple[int | None, int]]) -> list[float]:
+    """For each label (None: any) and k the least value that all but k rows of the label reach, to the last of the finer grids."""
+    low, each = [0.0] * len(wanted), float(GRID)
+    rest = [k for _, k in wanted]
+    for _ in range(FINER):
+        now, width = list(low), 1 / each
+
+        def count(x, label, now=now, each=each):
+            place = on_grid(value(x))
+            out = np.zeros((len(wanted), GRID))
+            for r, (kind, _) in enumerate(wanted):
+                inside = (place >= now[r]) & (place < now[r] + GRID / each) & ((label == kind) if kind is not None else True)
+                out[r] = np.bincount(cells(place[inside], now[r], each), minlength=GRID)
+            return out.ravel()
+
+        for r, counts in enumerate(tally(count).reshape(len(wanted), GRID)):
+            below = np.cumsum(counts)
+            cell = min(int(np.searchsorted(below, rest[r], "right")), GRID - 1)
+            rest[r] -= int(below[cell - 1]) if cell else 0
+            low[r] += cell * width
+        each *= GRID
+    t = [2 * x - 1 for x in low]
+    return [HALF * x / (1 - abs(x)) for x in t]
+
+
+def fitted(tally: Callable, l2: float, steps: int, drawn: Callable | None = None) -> dict | None:
+    """The model of the rows behind tally, which adds up a function's array over all of their (features, labels).
+
+    drawn gives the slopes on pairs of its own, from the centre and scale of the features.
+    """
+    sums = tally(lambda x, label: np.concatenate([[len(x), (label == 1).sum(), (label == 0).sum()], x.sum(0), (x * x).sum(0)]))
+    if sums is None or not sums[1] or not sums[2]:
         return None
-    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (x - centre) / scale
-    rng = np.random.default_rng(SEED)
-    d = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
-    w = np.zeros(d.shape[1])
-    for _ in range(steps):  # Newton's method on the logistic loss of the differences
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
-        gradient = l2 * w - d.T @ p / pairs
-        hessian = (d * (p * (1 - p))[:, None]).T @ d / pairs + l2 * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    value = z @ w
-    share = len(bad) / len(label)
-    cut = float(np.quantile(value, share))
-    spread = max(float(np.median(value[good]) - np.median(value[bad])), 1e-6)
-    return {"w": w, "centre": centre, "scale": scale, "cut": cut, "slope": 6 / spread}
+    (n, good, bad), (first, second) = sums[:3], sums[3:].reshape(2, -1)
+    centre = first / n
+    scale = np.sqrt(np.maximum(tally(lambda x, _: ((x - centre) ** 2).sum(0)) / n, 0))
+    scale = np.maximum(scale, 1e-6)
+    slopes = drawn(centre, scale) if drawn else lambda w: all_pairs(tally(lambda x, label: added((x - centre) / scale, label, w)), w)
+    w = np.round(minimise(slopes, len(centre), l2, steps), 9)  # sums of floats come in any order
+    cut, of_good, of_bad = places(tally, lambda x: ((x - centre) / scale) @ w, [(None, int(bad)), (1, int(good - 1) // 2), (0, int(bad - 1) // 2)])
+    return {"w": w, "centre": centre, "scale": scale, "cut": cut, "slope": 6 / max(of_good - of_bad, 1e-6)}
+
+
+def fit(x: np.ndarray, label: np.ndarray, pairs: int | None = None, l2: float = 1e-4, steps: int = 60) -> dict | None:
+    """Weights, centre and scale of the features, and the map of ranking values to scores.
+
+    From all pairs of the rows, or from so many drawn ones.
+    """
+
+    def drawn(centre, scale):
+        z, rng = (x - centre) / scale, np.random.default_rng(SEED)
+        d = z[rng.choice(np.flatnonzero(label == 1), pairs)] - z[rng.choice(np.flatnonzero(label == 0), pairs)]
+
+        def slopes(w):
+            p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+            return float(np.logaddexp(0, -(d @ w)).mean()), -d.T @ p / pairs, (d * (p * (1 - p))[:, None]).T @ d / pairs
+
+        return slopes
+
+    return fitted(lambda f: f(x, label), l2, steps, drawn if pairs else None) if len(x) else None
 
 
 def scores(model: dict | None, x: np.ndarray) -> np.ndarray:
@@ -143,25 +266,66 @@ def scores(model: dict | None, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict | None:
-    """Fit on the labelled rows of docs that are not held out."""
-    ship(docs.sparkSession)
-    own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("quality").alias("label"))
-    total = own.count()
-    if total > rows:  # a threshold on the hash leaves about rows of them
-        own = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * rows / total))
-    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType(), False), False)])
+def featured(docs: DataFrame) -> DataFrame:
+    """doc_id and x, the features as bytes, of each row."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("x", T.BinaryType(), False)])
 
     def run(batches):
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("label").cast(pa.int32()), pa.array(features(b.column("text")).tolist(), pa.list_(pa.float64()))], ["label", "x"])
+            x = np.ascontiguousarray(features(b.column("text")), "<f8")
+            ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.shape[1] * 8)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(x)])], schema.names)
 
-    # at most about `rows` ids: their number is bounded, so they are broadcast
-    found = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("label", "text").mapInArrow(run, schema).collect()
-    if not found:
-        return None
-    found.sort(key=lambda r: (r["label"], r["x"]))
-    return fit(np.array([r["x"] for r in found]), np.array([r["label"] for r in found]))
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
+
+
+def added_up(rows: DataFrame) -> Callable:
+    """A function that adds up a function's array, of a length of its own, over all rows (label and x); None without rows."""
+    schema = T.StructType([T.StructField("chunk", T.IntegerType(), False), T.StructField("sums", T.BinaryType(), False)])
+
+    def tally(f: Callable) -> np.ndarray | None:
+        def some(batches):
+            total = None
+            for b in batches:
+                if b.num_rows:
+                    x = np.frombuffer(b"".join(b.column("x").to_pylist()), "<f8").reshape(b.num_rows, -1)
+                    now = np.asarray(f(x, b.column("label").to_numpy()), float)
+                    total = now if total is None else total + now
+            if total is not None:  # the last chunk always goes, for the length
+                parts = [total[k : k + _CHUNK] for k in range(0, len(total), _CHUNK)]
+                sent = [k for k, part in enumerate(parts) if part.any() or k == len(parts) - 1]
+                yield pa.RecordBatch.from_arrays([pa.array(sent, pa.int32()), pa.array([parts[k].tobytes() for k in sent], pa.binary())], schema.names)
+
+        def add(batches):
+            sums: dict[int, np.ndarray] = {}
+            for b in batches:
+                for k, part in zip(b.column("chunk").to_pylist(), b.column("sums").to_pylist()):
+                    sums[k] = sums.get(k, 0) + np.frombuffer(part)
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], schema.names)
+
+        found = {r["chunk"]: np.frombuffer(r["sums"]) for r in rows.mapInArrow(some, schema).repartition("chunk").mapInArrow(add, schema).collect()}
+        if not found:
+            return None
+        last = max(found)
+        out = np.zeros(last * _CHUNK + len(found[last]))
+        for k, part in found.items():
+            out[k * _CHUNK : k * _CHUNK + len(part)] = part
+        return out
+
+    return tally
+
+
+def learn(docs: DataFrame, labels: DataFrame, l2: float = 1e-4, steps: int = 60) -> dict | None:
+    """Fit on all labelled rows of docs that are not held out."""
+    ship(docs.sparkSession)
+    own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+    # features are joined, not texts, as they are shorter
+    rows = featured(docs.where(F.col("doc_id").isNotNull() & ~held_out())).join(own, "doc_id").select("label", "x")
+    rows = written(rows, "features")
+    model = fitted(added_up(rows), l2, steps)
+    dropped(rows)
+    return model
 
 
 def score(docs: DataFrame, model: dict | None, text: str = "text", column: str = "score") -> DataFrame:

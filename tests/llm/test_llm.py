@@ -706,3 +706,29 @@ def test_pipeline_odd_rows(spark, tmp_path):
     assert rows(left.select("doc_id", "text")) == sorted((x for x in texts if not (x[1] or "").startswith("leak")), key=repr)
     changed = corpus_pipeline.dedup_lines(spark, d, "")
     assert changed.columns == corpus_pipeline.COLUMNS and changed.where("doc_id = 4").count() == 2
+
+
+def test_quality_all_rows(spark):
+    """The fit has no slope on the pairs of all rows, whatever their number, and the cut leaves as many rows below as label 0 has."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 5)) * [1, 2, 0.1, 1, 30] + [0, 5, 0, 1, 0]
+    label = (x @ [1, -0.5, 0, 0.5, 0.02] + rng.normal(size=900) > -1).astype(int)
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    z = (x - x.mean(0)) / x.std(0)
+    d = (z[good][:, None] - z[bad][None]).reshape(-1, 5)
+    rows = spark.createDataFrame([(int(k), bytearray(v.tobytes())) for k, v in zip(label, x)], "label int, x binary")
+    for model in (quality.fit(x, label), quality.fitted(quality.added_up(rows.repartition(7)), 1e-4, 60)):
+        slope = 1e-4 * model["w"] - (d / (1 + np.exp(d @ model["w"]))[:, None]).mean(0)
+        assert np.abs(slope).max() < 1e-4
+        assert (quality.scores(model, x) < quality.CUT).sum() == len(bad)
+    # more labelled rows than the 30,000 that were learnt from before: none is left out
+    many = spark.range(45_000).select("id", (F.col("id") % 3 > 0).cast("int").alias("quality"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("some good words "), "id")).otherwise(F.concat(F.lit("BAD!! "), "id")).alias("text"))
+    many = many.withColumnRenamed("id", "doc_id")
+    seen = []
+    kept, quality.fitted = quality.fitted, lambda tally, *_: seen.append(tally(lambda x, label: np.array([len(x), label.sum()])))
+    try:
+        quality.learn(many.select("doc_id", "text"), many.select("doc_id", "quality"))
+    finally:
+        quality.fitted = kept
+    own = many.where(~quality.held_out())
+    assert seen[0].tolist() == [own.count(), own.where("quality = 1").count()] and seen[0][0] > 35_000
