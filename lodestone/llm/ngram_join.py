@@ -13,10 +13,12 @@ components. The steps:
    number of pairs that is linear in the tokens.
 3. Token-group matrix: the union of each group's tokens, one row for each token
    and group, with the range of the members' sizes, the least position and the
-   parity bits that all members with the token have alike. A query's overlap with
-   a group is the sum over its tokens of the group's rows; a group is opened
-   where that sum, sizes, positions and parities leave room for a link, and of an
-   opened group the members that share a token are compared.
+   parity bits that all members with the token have alike. A query meets a group only
+   by tokens that can be the first they have in common, by sizes and positions, and
+   only once the whole parities of the query and of all members leave room for a link.
+   For these the query's overlap with the group is the sum over all its tokens of the
+   group's rows; a group is opened where that sum allows a link, and of an opened group
+   the members that share a token are compared.
 4. Components over all verified links.
 
 Step 3 leaves out only pairs within one group, whose link cannot change a
@@ -257,6 +259,28 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent
     return out
 
 
+def parity_words() -> list[Column]:
+    """The parity as 64-bit numbers w0, w1, ..."""
+    return [F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"w{k}") for k in range(BITS // 64)]
+
+
+def alike(pairs: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs of a set (key, of n shingles) and a group those whose whole parities and sizes allow a link with a member.
+
+    The bits that all members have alike and the set otherwise tell the set from each member.
+    """
+    words = range(BITS // 64)
+    wanted = pairs.select("group").distinct()
+    own = sets.select("key", "n", "parity").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key"))
+    own = own.join(wanted, "group", "left_semi").select("group", "n", *parity_words())
+    common = [f(f"w{k}").alias(f"{name}{k}") for k in words for name, f in (("every", F.bit_and), ("any", F.bit_or))]
+    union = own.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), *common)
+    query = sets.join(pairs.select("key").distinct(), "key", "left_semi").select("key", *parity_words())
+    both = pairs.join(query, "key").join(union, "group")
+    unlike = sum(F.bit_count(F.col(f"w{k}").bitwiseXOR(F.col(f"every{k}")).bitwiseAND(F.col(f"every{k}").bitwiseOR(F.bitwise_not(F.col(f"any{k}"))))) for k in words)
+    return both.where(may_share(F.col("n"), F.col("low"), F.col("high"), unlike, percent)).select("key", "group")
+
+
 def shared_by(rows: DataFrame, key: str, name: str) -> DataFrame:
     """The rows whose key stands in several of them. The keys are written first, so that a join may split a frequent one's rows."""
     several = written(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), name)
@@ -271,7 +295,7 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     # one row of each set; only its columns that a step needs are read and sent
     sets = rows.where("n > 0").groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
     sets = written(sets, "classes")
-    folded = sets.withColumns({f"w{k}": F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(BITS // 64)})
+    folded = sets.select("key", *parity_words())
     fold = lambda k: F.col(f"w{k}").bitwiseXOR(F.col(f"w{k + 4}")).bitwiseXOR(F.col(f"w{k + 8}")).bitwiseXOR(F.col(f"w{k + 12}"))
     folds = [f"s{k}" for k in range(WORDS)]
     folded = folded.select("key", *[fold(k).alias(f"s{k}") for k in range(WORDS)])
@@ -289,7 +313,7 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     member = entries.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key")).drop("component")
     member = written(member, "members")
-    dropped(entries, groups)
+    dropped(entries)
     common = [f(f"s{k}").alias(f"{name}{k}") for k in range(WORDS) for name, f in (("every", F.bit_and), ("any", F.bit_or))]
     union = written(member.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"), *common), "union")
     matrix = written(shared_by(union, "token", "tokens"), "matrix")
@@ -303,17 +327,22 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         for k in range(WORDS)
     )
     size, low, high = F.col("q.n"), F.col("g.low"), F.col("g.high")
-    met = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.group") < F.col("g.group")) & may_share(size, low, high, unlike, percent))
     begins = may_begin(size, F.col("q.pos"), low, high, F.col("g.first"), percent)
-    met = written(met.select("q.token", "q.key", "q.n", "q.pos", *[f"q.{c}" for c in folds], F.col("g.group").alias("group"), "g.low", "g.high", begins.alias("begins")), "met")
-    overlap = met.groupBy("key", "group").agg(F.count("*").alias("overlap"), F.max("begins").alias("begins"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    opened = overlap.where(F.col("begins") & (F.col("overlap") >= least_overlap(F.col("n"), F.col("low"), F.col("high"), percent)))
+    other = F.col("q.group") < F.col("g.group")
+    met = q.join(g, (F.col("q.token") == F.col("g.token")) & other & begins & may_share(size, low, high, unlike, percent))
+    met = written(met.select("q.token", "q.key", "q.n", "q.pos", *[f"q.{c}" for c in folds], F.col("g.group").alias("group")), "met")
+    likely = written(alike(met.select("key", "group", "n").distinct(), sets, groups, percent), "likely")
+    dropped(groups)
+    asked = written(query.join(likely.select("key", F.col("group").alias("with")), "key"), "asked")
+    shared = asked.alias("q").join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.with") == F.col("g.group")) & may_share(size, low, high, unlike, percent))
+    overlap = shared.select("q.key", "g.group", "q.n", "g.low", "g.high").groupBy("key", "group").agg(F.count("*").alias("overlap"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    opened = overlap.where(F.col("overlap") >= least_overlap(F.col("n"), F.col("low"), F.col("high"), percent))
     opened = written(opened.select("key", "group"), "opened")
-    tries = met.where("begins").join(opened, ["key", "group"], "left_semi")
+    tries = met.join(opened, ["key", "group"], "left_semi")
     pairs = tries.alias("x").join(query.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.group") == F.col("y.group")) & fits("x", "y", percent))
     pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     more = verified(pairs, sets, docs, n, percent)
-    dropped(met, opened, query, matrix)
+    dropped(met, likely, asked, opened, query, matrix)
 
     # rows that share an id
     several = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a <> last")

@@ -732,3 +732,48 @@ def test_quality_all_rows(spark):
         quality.fitted = kept
     own = many.where(~quality.held_out())
     assert seen[0].tolist() == [own.count(), own.where("quality = 1").count()] and seen[0][0] > 35_000
+
+
+def test_common_words_meet_no_group(spark, monkeypatch):
+    """Long sets that share most words but too few for a link: the join of tokens and groups makes no row for each pair of them."""
+    common = " ".join(f"c{k}" for k in range(900))
+    texts = [" ".join(f"w{i}x{k}" for k in range(100)) + " " + common for i in range(24)]
+    d = table(spark, [*texts, texts[0] + " end"])
+    made = {}
+    real = ngram_join.written
+
+    def counted(df, name):
+        out = real(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link(d).collect()}
+    assert got == {k: k % 24 for k in range(25)}
+    assert made["met"] <= 24  # 23 * 24 / 2 pairs share about 50 tokens of their prefixes
+
+
+def test_alike_keeps_linked_sets(spark):
+    """Whole parities leave out only sets that link with no member of the group."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    base = [[f"b{i}w{rng.randrange(10**6)}" for _ in range(rng.choice([30, 700, 2500]))] for i in range(12)]
+    texts = []
+    for words in base:
+        for edits in (0, 1, len(words) // 60, len(words) // 40):
+            new = list(words)
+            for k in rng.sample(range(len(new)), edits):
+                new[k] = "new" + str(rng.randrange(10**6))
+            texts.append(" ".join(new))
+    made = ngram_join.shingle_sets(pa.array(texts), 4)
+    sets = spark.createDataFrame([(k, len(x), bytearray(ngram_join.parity(x))) for k, x in enumerate(made)], "key long, n long, parity binary")
+    groups = spark.createDataFrame([(k, k - k % 4) for k in range(24)], "node long, component long")  # the others are groups of their own
+    pairs = [(a, b) for a in range(48) for b in range(48) if b >= 24 or b % 4 == 0]
+    kept = {tuple(r) for r in ngram_join.alike(spark.createDataFrame([(a, b, len(made[a])) for a, b in pairs], "key long, group long, n long"), sets, groups, 85).collect()}
+    for a, b in pairs:
+        members = range(b, b + 4) if b < 24 else [b]
+        shared = [len({*made[a].tolist()} & {*made[m].tolist()}) for m in members]
+        if any(100 * c >= 85 * (len(made[a]) + len(made[m]) - c) for c, m in zip(shared, members)):
+            assert (a, b) in kept
+    assert len(kept) < len(pairs) / 4
