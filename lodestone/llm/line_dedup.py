@@ -50,17 +50,10 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def order_key(word: Column, rank: Column) -> Column:
-    """A bijection of the word's hash: the rank of its first BITS bits, then the others."""
-    h = F.xxhash64(word)
+def order_key(h: Column, rank: Column) -> Column:
+    """A bijection of a word's hash: the rank (from ranks, in its place) of its first BITS bits, then the others."""
     first = F.coalesce(F.get(rank, F.shiftrightunsigned(h, 64 - BITS).cast("int")), F.lit(0))  # never null, so arrays of keys sort as numbers
-    return F.shiftleft(first, 64 - BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << 64 - BITS) - 1)))
-
-
-def words_of(line: Column, rank: Column) -> Column:
-    """The order keys of a line's distinct words, rarest first."""
-    keys = F.transform(F.split(line, " "), lambda w: order_key(w, rank))
-    return F.sort_array(F.array_distinct(F.array_remove(keys, order_key(F.lit(""), rank))))
+    return first.bitwiseOR(h.bitwiseAND(F.lit((1 << 64 - BITS) - 1)))
 
 
 def hashes_of(line: Column) -> Column:
@@ -68,14 +61,20 @@ def hashes_of(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
+def words_of(line: Column, rank: Column) -> Column:
+    """The order keys of a line's distinct words, rarest first."""
+    # an argument used twice is made twice, so the words are hashed before
+    return F.sort_array(F.transform(hashes_of(line), lambda h: order_key(h, rank)))
+
+
 def ranks(docs: DataFrame) -> Column:
-    """The rank of each counter of words over all texts, rarest first, as one literal array."""
+    """The rank of each counter of words over all texts, rarest first, as one literal array of first bits of order keys."""
     size = 1 << BITS
     words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - BITS).alias("c")).agg(F.count("*").alias("n"))
     every = docs.sparkSession.range(size).join(counts, F.col("id") == F.col("c"), "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
     place = F.row_number().over(Window.orderBy("n", "id")) - size // 2 - 1  # over a fixed number of counters
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda x: x["r"].cast("string"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda x: F.shiftleft(x["r"].cast("long"), 64 - BITS).cast("string"))
     text = every.select("id", place.alias("r")).agg(F.array_join(in_order, ",").alias("text")).first()["text"]
     return F.split(F.lit(text), ",").cast("array<bigint>")
 

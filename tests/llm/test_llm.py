@@ -777,3 +777,13 @@ def test_alike_keeps_linked_sets(spark):
         if any(100 * c >= 85 * (len(made[a]) + len(made[m]) - c) for c, m in zip(shared, members)):
             assert (a, b) in kept
     assert len(kept) < len(pairs) / 4
+
+
+def test_order_key_is_a_bijection(spark):
+    """Words of one line keep their number and come rare ones first, by the counts of their counters."""
+    d = spark.createDataFrame([("a a  b c",), ("a b",), ("a x y z a",)], "text string")
+    rank = line_dedup.ranks(d)
+    got = [r["k"] for r in d.select(line_dedup.words_of(F.col("text"), rank).alias("k")).collect()]
+    assert [len(k) for k in got] == [3, 2, 4] and all(k == sorted(k) for k in got)
+    a = {got[0][-1], got[1][-1], got[2][-1]}
+    assert len(a) == 1 and len({*got[0], *got[1], *got[2]}) == 6
