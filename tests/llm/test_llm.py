@@ -787,3 +787,6 @@ def test_order_key_is_a_bijection(spark):
     assert [len(k) for k in got] == [3, 2, 4] and all(k == sorted(k) for k in got)
     a = {got[0][-1], got[1][-1], got[2][-1]}
     assert len(a) == 1 and len({*got[0], *got[1], *got[2]}) == 6
+    # an argument used twice is made twice: the words are hashed once, and the empty word to leave it out
+    plan = d.select(line_dedup.words_of(F.col("text"), F.array(F.lit(0).cast("long"))).alias("k"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xxhash64(") == 2
