@@ -420,6 +420,17 @@ def test_suffix_dedup(spark, docs, length, gram):
     assert got == sorted(repeats(pairs_of(docs), length), key=repr)
 
 
+def test_suffix_dedup_planted(spark):
+    """The contract's 400 bytes: passages of over 50 words go from that length on, whatever their words."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(5)) for _ in range(n))
+    passages = [prose(51), prose(80)[:399], prose(80)[:400], prose(80)]  # 305, 399, 400 and 479 bytes
+    texts = [f"{prose(40)} {chr(65 + k)}{p}{chr(97 + k)} {prose(30)}" for k, p in enumerate(passages * 2)] + [prose(200)]
+    got = {r["doc_id"]: r for r in suffix_dedup.digest(suffix_dedup.dedup(table(spark, texts))).collect()}
+    assert [got[k]["n_removed"] for k in range(len(texts))] == [0, 0, 400, 479] * 2 + [0]
+    assert sorted(map(tuple, got.values()), key=repr) == sorted(repeats(list(enumerate(texts)), 400), key=repr)
+
+
 def test_suffix_dedup_odd(spark, docs, monkeypatch):
     few = docs.where("doc_id < 30")
     for group in (700, 3, 100):  # splits buckets by distance, with the least value to windows that stand alone
